@@ -2,8 +2,9 @@
 
 from .q_bpe import op2_bpe
 from .q_chat import OP7_SQL, op7_chat
+from .q_langid import op6_langid
 from .q_secrets import op5_secrets
 from .q_warc import OP3_SQL, op3_warc
 
-QUERIES = {"op2_bpe": op2_bpe, "op3_warc": op3_warc, "op5_secrets": op5_secrets, "op7_chat": op7_chat}
+QUERIES = {"op2_bpe": op2_bpe, "op3_warc": op3_warc, "op5_secrets": op5_secrets, "op6_langid": op6_langid, "op7_chat": op7_chat}
 SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op7_chat": OP7_SQL}
