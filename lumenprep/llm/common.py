@@ -11,7 +11,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -88,3 +89,18 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[
 def fits(spark: SparkSession, rows: DataFrame, most: int) -> bool:
     """Whether rows has at most `most` rows, without counting further than that."""
     return rows.limit(most + 1).count() <= most
+
+
+BITMAP_BITS = 23
+
+
+def maybe_in(df: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """df with __maybe boolean: false where the key is certainly not in the one (long) column of `wanted`.
+
+    A bitmap of 2**23 bits that the wanted keys set, broadcast as at most 2**17 rows of two numbers whatever the sizes; a
+    full one lets all pass and is still right.
+    """
+    slot = F.pmod(F.xxhash64(wanted.columns[0]), F.lit(1 << BITMAP_BITS))
+    words = wanted.select(slot.alias("s")).selectExpr("s div 64 AS __w", "shiftleft(1L, cast(pmod(s, 64) AS int)) AS __bit").groupBy("__w").agg(F.bit_or("__bit").alias("__bits"))
+    marked = df.withColumn("__slot", F.pmod(F.xxhash64(key), F.lit(1 << BITMAP_BITS))).join(F.broadcast(words), F.expr("__slot div 64 = __w"), "left")
+    return marked.withColumn("__maybe", F.expr("coalesce(shiftrightunsigned(__bits, cast(pmod(__slot, 64) AS int)) & 1, 0) = 1")).drop("__slot", "__w", "__bits")
