@@ -177,28 +177,28 @@ def filter_cascade_dedup_first(spark, sf_dir):
 
 @query(
     """SELECT l_orderkey AS image, count(*) AS num_objects, count(DISTINCT p_type) AS unique_classes,
-  round((max(l_quantity) - min(l_quantity)) * (max(l_extendedprice) - min(l_extendedprice)) / (50.0 * 100000.0), 6) AS dispersion
+  (max(l_quantity) - min(l_quantity)) * (max(l_extendedprice) - min(l_extendedprice)) / 5000000.0::DOUBLE AS dispersion
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey"""
 )
 def dispersion_bbox(spark, sf_dir):
     d = T.detections(spark, sf_dir)
-    return d.groupBy("image").agg(F.count("*").alias("num_objects"), F.countDistinct("cls").alias("unique_classes"), F.round(G.dispersion(F.col("cx"), F.col("cy"), T.WIDTH, T.HEIGHT), 6).alias("dispersion"))
+    return d.groupBy("image").agg(F.count("*").alias("num_objects"), F.countDistinct("cls").alias("unique_classes"), G.dispersion(F.col("cx"), F.col("cy"), T.WIDTH, T.HEIGHT).alias("dispersion"))
 
 
 @query(
     """SELECT o_orderkey AS image, coalesce(n, 0) AS num_objects, coalesce(c, 0) AS unique_classes, coalesce(d, 0.0) AS dispersion FROM orders LEFT JOIN (
-  SELECT l_orderkey, count(*) AS n, count(DISTINCT p_type) AS c, round((max(l_quantity) - min(l_quantity)) * (max(l_extendedprice) - min(l_extendedprice)) / (50.0 * 100000.0), 6) AS d
+  SELECT l_orderkey, count(*) AS n, count(DISTINCT p_type) AS c, (max(l_quantity) - min(l_quantity)) * (max(l_extendedprice) - min(l_extendedprice)) / 5000000.0::DOUBLE AS d
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey) ON l_orderkey = o_orderkey"""
 )
 def object_features(spark, sf_dir):
     images = T.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image"), F.lit(T.WIDTH).alias("width"), F.lit(T.HEIGHT).alias("height"))
     out = E.object_features(images, T.detections(spark, sf_dir), "image")
-    return out.select("image", "num_objects", "unique_classes", F.round("dispersion", 6).alias("dispersion"))
+    return out.select("image", "num_objects", "unique_classes", "dispersion")
 
 
-@query("SELECT l_orderkey AS image, CASE WHEN count(*) <= 1 THEN 0.0 ELSE round((stddev_pop(l_quantity) + stddev_pop(l_extendedprice)) / 2 / 100000.0, 6) END AS dispersion FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey")
+@query("SELECT l_orderkey AS image, CASE WHEN count(*) <= 1 THEN 0.0 ELSE round((stddev_pop(l_quantity) + stddev_pop(l_extendedprice)) / 2 / 100000.0, 9) END AS dispersion FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey")
 def dispersion_std(spark, sf_dir):
-    return T.detections(spark, sf_dir).groupBy("image").agg(F.round(G.dispersion_std(F.col("cx"), F.col("cy"), 100000.0), 6).alias("dispersion"))
+    return T.detections(spark, sf_dir).groupBy("image").agg(F.round(G.dispersion_std(F.col("cx"), F.col("cy"), 100000.0), 9).alias("dispersion"))
 
 
 @query(
@@ -212,7 +212,7 @@ def area_hist_classes(spark, sf_dir):
 
 
 @query(
-    """SELECT o_orderkey AS image, coalesce(n, 0) AS num_boxes, coalesce(round(a / (50.0 * 100000.0), 6), 0.0) AS text_area_ratio FROM orders LEFT JOIN (
+    """SELECT o_orderkey AS image, coalesce(n, 0) AS num_boxes, coalesce(round(a / 5000000.0::DOUBLE, 9), 0.0) AS text_area_ratio FROM orders LEFT JOIN (
   SELECT l_orderkey, count(*) AS n, sum(abs(l_quantity) * abs(l_extendedprice)) AS a FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey) ON l_orderkey = o_orderkey"""
 )
 def text_area_ratio(spark, sf_dir):
@@ -221,7 +221,7 @@ def text_area_ratio(spark, sf_dir):
     boxes = T.table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("image")).agg(F.collect_list(box).alias("boxes"))
     images = T.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image"), F.lit(T.WIDTH).alias("width"), F.lit(T.HEIGHT).alias("height"))
     out = E.with_text_features(images.join(boxes, "image", "left"))
-    return out.select("image", F.col("num_boxes").cast("long").alias("num_boxes"), F.round("text_area_ratio", 6).alias("text_area_ratio"))
+    return out.select("image", F.col("num_boxes").cast("long").alias("num_boxes"), F.round("text_area_ratio", 9).alias("text_area_ratio"))
 
 
 CAPTIONS = values(T.CAPTIONS, "id, caption, w, h")
