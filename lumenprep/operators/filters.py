@@ -15,9 +15,9 @@ from .dedup import greedy_dedup
 
 def resolution_ok(least: int = 256, most: int | None = None, width: str = "width", height: str = "height") -> Column:
     """Both sides at least `least` (and at most `most`); unknown or undecodable (negative) sizes fail."""
-    ok = F.least(width, height) >= least
+    ok = (F.col(width) >= least) & (F.col(height) >= least)
     if most is not None:
-        ok = ok & (F.greatest(width, height) <= most)
+        ok = ok & (F.col(width) <= most) & (F.col(height) <= most)
     return F.coalesce(ok, F.lit(False))
 
 

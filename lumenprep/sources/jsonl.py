@@ -6,23 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BAD = "_bad_line"
 
 
-def read_lenient(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """The good lines; blank and bad ones are left out; a missing path raises."""
-    return _permissive(spark, path, schema).filter(f"{BAD} IS NULL").drop(BAD)
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """value and at (file and place in it) of the lines that aren't blank."""
+    return spark.read.text(path).select("value", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n")).alias("at")).filter(F.trim("value") != "")
+
 
+def _parsed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    good = _lines(spark, path).filter(F.try_parse_json("value").isNotNull())
+    return good.select(F.from_json("value", schema).alias("entry"), "at")
 
-def _permissive(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return spark.read.schema(T.StructType([*kind.fields, T.StructField(BAD, T.StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).json(path)
+
+def read_lenient(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The good lines; blank and bad ones are left out; a missing path raises."""
+    return _parsed(spark, path, schema).select("entry.*")
 
 
 def skipped(spark: SparkSession, path: str) -> int:
-    """How many lines are neither blank nor JSON objects."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    return lines.filter(F.try_parse_json("value").isNull()).count()
+    """How many lines are neither blank nor JSON."""
+    return _lines(spark, path).filter(F.try_parse_json("value").isNull()).count()
 
 
 def read_strict(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -32,16 +35,14 @@ def read_strict(spark: SparkSession, path: str, schema: T.StructType | str) -> D
 
 def read_dynamic(spark: SparkSession, path: str) -> DataFrame:
     """entry variant and line string: keys as they come, so that a missing key differs from a null."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    return lines.select(F.try_parse_json("value").alias("entry"), F.col("value").alias("line")).filter("entry IS NOT NULL")
+    return _lines(spark, path).select(F.try_parse_json("value").alias("entry"), F.col("value").alias("line")).filter("entry IS NOT NULL")
 
 
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType | str, key: str = "path") -> DataFrame:
     """One row a key, the last line's values at the first line's place (line_no, by file and position)."""
     from ..operators.retry import last_wins
 
-    numbered = read_lenient(spark, path, schema).withColumn("line_no", F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id()))
-    return last_wins(numbered, key)
+    return last_wins(_parsed(spark, path, schema).select("entry.*", F.col("at").alias("line_no")), key)
 
 
 def write(df: DataFrame, path: str, partition: str | None = None) -> None:
