@@ -64,12 +64,16 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         http,
     )
     typed.select("page_id", "sha256", head.alias("head")).write.parquet(f"{path}/heads")
-    # Small payloads below min_bytes are all responses; they, too, are stored once.
-    stored = facts.groupBy("sha256").agg(F.min("page_id").alias("first")) if min_bytes else None
-    keep = facts.join(groups, "sha256", "left").filter("first IS NULL OR page_id = first") if stored is None else stored.withColumnRenamed("first", "page_id")
-    bodies = pages.select(F.col("page_id").alias("page"), body.alias("payload")).withColumn("sha", F.sha2("payload", 256))
-    one = keep.select("page_id", "sha256").distinct()
-    bodies.join(one, bodies["page"].eqNullSafe(one["page_id"]) & (bodies["sha"] == one["sha256"])).dropDuplicates(["sha256"]).select("sha256", "payload").write.parquet(f"{path}/payloads")
+    # The row that stores a payload: the response's; small payloads, which are all responses, are stored once, too.
+    if min_bytes:
+        keep = facts.groupBy("sha256").agg(F.min("page_id").alias("page_id"))
+    else:
+        keep = facts.join(groups, "sha256", "left").filter("first IS NULL OR page_id = first")
+    none = F.lit(-(1 << 63))
+    one = keep.select(F.coalesce("page_id", none).alias("page"), "sha256").distinct()
+    bodies = pages.select(F.coalesce("page_id", none).alias("page"), body.alias("payload")).withColumn("sha256", F.sha2("payload", 256))
+    # One shuffle of the payloads: the join and the removal of repeated rows have the same keys.
+    bodies.join(one, ["page", "sha256"], "left_semi").dropDuplicates(["page", "sha256"]).select("sha256", "payload").write.parquet(f"{path}/payloads")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
