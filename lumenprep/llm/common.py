@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = Path(__file__).resolve().parents[2]
+from ..tables import drop, save, shared_dir  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,35 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or on local[*] a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    own = f"file://{tempfile.gettempdir()}/checkpoints/{spark.sparkContext.applicationId}"
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it again: lineage ends here, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop(*saved: DataFrame) -> None:
-    """Deletes tables that save() wrote and that nothing reads any more."""
-    for df in saved:
-        spark = df.sparkSession
-        for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(parent)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -86,11 +56,6 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[
         yield start, len(texts), texts[start:]
 
 
-def fits(spark: SparkSession, rows: DataFrame, most: int) -> bool:
-    """Whether rows has at most `most` rows, without counting further than that."""
-    return rows.limit(most + 1).count() <= most
-
-
 BITMAP_BITS = 23
 
 

@@ -1,77 +1,52 @@
-"""Links between members of hash buckets, and connected components: no group is gathered in a task, no bucket expanded into all pairs.
+"""Links between members of hash buckets, and connected components: no group is gathered in a task, none expanded into all pairs.
 
-Members of a bucket are first compared with one hub (the member that stands for most rows); what links to the hub needs no
-further link among itself. What is left is compared with every member of its bucket: at once where that is few
-comparisons, else through further hubs first, after which the stars of a bucket are compared with each other. So two
-members of a bucket that verify() accepts always end in one component, whatever the bucket's size.
+Each bucket has a hub; members that possible() allows are verified against it, one candidate a member and bucket. What
+that joins is one component and needs no further link among itself. Only members of one bucket that are still in different
+components, and that possible() allows, are then verified with each other. So two members of a bucket that verify()
+accepts always end in one component, whatever the bucket's size; possible() must allow every pair that verify() accepts,
+and the sharper it is, the fewer candidates there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, save
-
-FEW = 4096  # comparisons of one bucket that are made at once
-HUBS = 4  # hubs of larger ones before the rest is compared with all
+from .common import drop, maybe_in, save
 
 
 def members_of(rows: DataFrame) -> DataFrame:
-    """The rows (key, id, copies; each once) of buckets with more than one member, written."""
-    several = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    return save(rows.join(several, "key"), "members")
+    """The rows (key long, id and others; each once) of buckets with more than one member, written.
+
+    Keys alone are counted first; a bitmap of those that occur again keeps most other rows out of the second shuffle.
+    """
+    several = save(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key"), "keys")
+    return save(maybe_in(rows, F.col("key"), several).filter("__maybe").drop("__maybe").join(several, "key"), "members")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-
-
-def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Links (a, b), a < b, that connect whatever verify(pairs a, b -> those that are links) accepts within a bucket."""
-    found: list[DataFrame] = []
-    left, stars = members, []
-    for turn in range(HUBS):
-        hubs = left.groupBy("key").agg(F.max(F.struct("copies", "id"))["id"].alias("hub"))
-        against = members.join(hubs, "key").filter("id <> hub") if turn == 0 else members.join(save(hubs, "hubs"), "key").filter("id <> hub")
-        good = save(verify(ordered(against.select(F.col("hub").alias("a"), F.col("id").alias("b")))), "links")
-        found.append(good)
-        hubs = save(hubs, "hubs")
-        both = good.unionByName(good.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        placed = left.join(hubs, "key")
-        star = placed.join(both, (placed["hub"] == both["a"]) & (placed["id"] == both["b"]), "left").select(*left.columns, (F.col("a").isNotNull() | (F.col("id") == F.col("hub"))).alias("in_star"))
-        star = save(star, "stars")
-        stars.append(star.filter("in_star").select("key", "id", F.lit(turn).alias("star")))
-        left = star.filter("NOT in_star").drop("in_star")
-        sizes = left.groupBy("key").agg(F.count("*").alias("n"), F.max("size").alias("s")).filter("n > 1 OR s > 2")
-        sizes = save(sizes, "left")
-        small = sizes.filter(F.col("n") * F.col("s") <= FEW).select("key")
-        at_once = left.join(small, "key", "left_semi")
-        pairs = at_once.select("key", F.col("id").alias("a")).join(members.select("key", F.col("id").alias("b")), "key").select("a", "b")
-        if not sizes.isEmpty():
-            found.append(save(verify(ordered(pairs)), "links"))
-        large = sizes.filter(F.col("n") * F.col("s") > FEW).select("key")
-        if large.isEmpty():
-            left = None
-            break
-        left = save(left.join(large, "key", "left_semi"), "left")
-    if left is not None:
-        pairs = left.select("key", F.col("id").alias("a")).join(members.select("key", F.col("id").alias("b")), "key").select("a", "b")
-        found.append(save(verify(ordered(pairs)), "links"))
-    if len(stars) > 1:
-        later = stars[1]
-        for s in stars[2:]:
-            later = later.unionByName(s)
-        earlier = stars[0].unionByName(later)
-        x, y = earlier.alias("x"), later.alias("y")
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.star") < F.col("y.star"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        found.append(save(verify(ordered(pairs)), "links"))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return save(out.select("a", "b").distinct(), "all-links")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def link(members: DataFrame, hub_order: list[Column], possible: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b), a < b. members: key, id and `at`, a struct of what possible(at, at) and hub_order (least first) look at."""
+    hubs = members.groupBy("key").agg(F.min_by(F.struct("id", "at"), F.struct(*hub_order, "id")).alias("hub"))
+    near = members.join(hubs, "key").filter((F.col("id") != F.col("hub.id")) & possible(F.col("at"), F.col("hub.at")))
+    stars = save(verify(ordered(near.select(F.col("hub.id").alias("a"), F.col("id").alias("b")))), "star-links")
+    roots = save(components(stars), "star-roots")
+    rooted = save(members.join(roots, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root")), "rooted")
+    still = rooted.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("g")).filter("l <> g").select("key")
+    open_rows = save(rooted.join(still, "key"), "open-rows")
+    # All buckets of a member (as many as it has keys): a pair is made in the first bucket that both are in, and in no other.
+    parted = save(open_rows.join(open_rows.groupBy("id").agg(F.collect_set("key").alias("keys")), "id"), "parted")
+    x = parted.select("key", F.col("id").alias("a"), F.col("at").alias("x"), F.col("root").alias("rx"), F.col("keys").alias("kx"))
+    y = parted.select("key", F.col("id").alias("b"), F.col("at").alias("y"), F.col("root").alias("ry"), F.col("keys").alias("ky"))
+    once = F.array_min(F.array_intersect("kx", "ky")) == x["key"]
+    across = x.join(y, (x["key"] == y["key"]) & (F.col("rx") < F.col("ry")) & possible(F.col("x"), F.col("y")) & once).select("a", "b")
+    rest = save(verify(ordered(across)), "cross-links")
+    return save(stars.select("a", "b").unionByName(rest.select("a", "b")), "all-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -84,7 +59,7 @@ def components(links: DataFrame) -> DataFrame:
         if large:
             out = joined.filter("a > b").select(F.col("least").alias("a"), F.col("a").alias("b"))
         else:
-            out = joined.select("least", "a", "b").select(F.explode(F.array(F.struct(F.col("least").alias("a"), F.col("a").alias("b")), F.struct(F.col("least").alias("a"), F.col("b")))).alias("e")).select("e.*")
+            out = joined.select(F.explode(F.array(F.struct(F.col("least").alias("a"), F.col("a").alias("b")), F.struct(F.col("least").alias("a"), F.col("b")))).alias("e")).select("e.*")
         return save(out.filter("a <> b").distinct(), "edges")
 
     def mark(edges: DataFrame) -> tuple:

@@ -9,7 +9,7 @@ still empty: about k log k darts a text, however many shingles it has.
 
 Elements are five-word shingles; by default each weighs 1 (Jaccard of sets), with weighted=True its count in the text.
 Texts with equal elements and weights are one node; bands propose pairs of nodes, links.link() compares them exactly
-(similarity >= 0.8), links.components() makes classes. At 0.8 a pair shares one of 25 bands of 4 with probability 0.999998.
+(similarity >= 0.8), links.components() makes classes. At 0.8 a pair shares one of 25 bands of 5 with probability 0.99995.
 
 Defined results: null or empty text, and text without a word, is alone in its class; fewer than five words are one
 shingle; a null doc_id is alone with a null class; repeated rows are in one class (the class of their text); class_id is
@@ -22,14 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, save, ship
+from .common import chunks, maybe_in, save, ship
 from .links import components, link, members_of
 from .shingles import U, mix, shingles
 
-BANDS, ROWS = 25, 4
+BANDS, ROWS = 25, 5
 BASE = -3  # log2 of the first rank cell
 
 
@@ -152,26 +152,39 @@ def elements(docs: DataFrame, weighted: bool = False) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node string, elements array<long>")
 
 
+def _bound(x: Column, y: Column) -> Column:
+    """The highest Jaccard similarity of two sets of n elements of which u are in no other set at all."""
+    both = F.least(x["n"] - x["u"], y["n"] - y["u"])
+    return both / (x["n"] + y["n"] - both)
+
+
 def classes(docs: DataFrame, threshold: float = 0.8, weighted: bool = False) -> DataFrame:
-    """doc_id and class_id (the least doc_id of its class): a row for each row of docs."""
+    """doc_id and class_id (the least doc_id of its class): a row for each row of docs.
+
+    Elements that only one node has (`u` of its `n`) bound the similarity that it can have to any other; that bound, which
+    needs no element sets, keeps heavily edited copies of a large group from being compared with the whole group.
+    """
     sketched = save(sketch(docs, weighted), "sketch")
-    nodes = save(sketched.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys")), "nodes")
-    rows = nodes.select(F.explode("keys").alias("key"), F.col("node").alias("id"), "copies")
-    members = members_of(rows)
-    wanted = save(members.select(F.col("id").alias("node")).distinct().join(nodes.select("node", "first"), "node"), "wanted")
-    texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"] == wanted["first"], "left_semi")
-    held = elements(texts, weighted).join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    held = save(held.withColumn("n", F.size("elements")), "elements")
+    grouped = sketched.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys"))
+    nodes = save(grouped.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    members = members_of(nodes.select(F.explode("keys").alias("key"), "id"))
+    wanted = save(members.select("id").distinct().join(nodes.select("id", "node", "first"), "id"), "wanted")
+    some = maybe_in(docs.select("doc_id", "text"), F.col("doc_id"), wanted.select("first")).filter("__maybe")
+    texts = some.join(wanted.select("first"), some["doc_id"] == F.col("first"), "left_semi").select("text")
+    held = save(elements(texts, weighted).join(wanted.select("node", "id"), "node").dropDuplicates(["id"]).select("id", "elements", F.size("elements").alias("n")), "elements")
+    alone = held.select("id", F.explode("elements").alias("e")).groupBy(F.hash("e").alias("e")).agg(F.count("*").alias("c"), F.min("id").alias("id")).filter("c = 1").groupBy("id").agg(F.count("*").alias("u"))
+    sized = held.select("id", "n").join(alone, "id", "left").select("id", F.struct("n", F.coalesce("u", F.lit(0)).alias("u")).alias("at"))
+    able = save(sized.filter(F.col("at.n") - F.col("at.u") >= threshold * F.col("at.n")), "able")
+    left = members_of(members.join(able, "id"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        x = held.select(F.col("node").alias("a"), F.col("elements").alias("x"), F.col("n").alias("nx"))
-        y = held.select(F.col("node").alias("b"), F.col("elements").alias("y"), F.col("n").alias("ny"))
-        near = pairs.join(x, "a").join(y, "b").filter(F.least("nx", "ny") >= threshold * F.greatest("nx", "ny"))
+        x = held.select(F.col("id").alias("a"), F.col("elements").alias("x"), F.col("n").alias("nx"))
+        y = held.select(F.col("id").alias("b"), F.col("elements").alias("y"), F.col("n").alias("ny"))
         both = F.size(F.array_intersect("x", "y"))
-        return near.filter(both >= threshold * (F.col("nx") + F.col("ny") - both)).select("a", "b")
+        return pairs.join(x, "a").join(y, "b").filter(both >= threshold * (F.col("nx") + F.col("ny") - both)).select("a", "b")
 
-    roots = save(components(link(members, verify)), "roots")
-    joined = nodes.select("node", "first").join(roots.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = save(components(link(left, [F.col("at.u") / F.col("at.n")], lambda x, y: _bound(x, y) >= threshold - 1e-9, verify)), "roots")
+    joined = nodes.select("id", "node", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     firsts = save(joined.groupBy("root").agg(F.min("first").alias("class_id")), "firsts")
     named = save(joined.select("node", "root").join(firsts, "root").select("node", "class_id"), "classes")
     return sketched.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))

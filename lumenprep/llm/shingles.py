@@ -34,12 +34,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, words of each text); words are runs of letters, marks and digits, in small letters."""
+    return sized_words(texts)[::2]
+
+
+def sized_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, its characters, words of each text)."""
     low = _low()[code_points("\x00".join(texts) + "\x00")]
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     inside = low > 0
     starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
     if not len(starts):
-        return np.empty(0, U), np.zeros(len(texts), np.int64)
+        return np.empty(0, U), np.empty(0, np.int64), np.zeros(len(texts), np.int64)
     at = np.flatnonzero(inside)
     first = np.searchsorted(at, starts)
     sizes = np.diff(np.append(first, len(at)))
@@ -47,7 +52,7 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     power = np.cumprod(np.concatenate([[U(1)], np.full(int(sizes.max()), U(0x100000001B3 * 2 + 1), U)]))
     hashed = mix(np.add.reduceat((low[at].astype(U) + U(0x9E37)) * power[place], first) + sizes.astype(U))
     of = np.searchsorted(np.cumsum(lengths), starts, side="right")
-    return hashed, np.bincount(of, minlength=len(texts))
+    return hashed, sizes, np.bincount(of, minlength=len(texts))
 
 
 def shingles(texts: list[str], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -107,14 +107,17 @@ def classes(docs: DataFrame, threshold: float = 0.44) -> DataFrame:
 
     parts = F.sequence(part(F.ceil(F.lit(threshold) * F.col("n") - 1e-9)), part(F.col("n")))
     prefix = F.slice("s", F.lit(1), F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1)
-    rows = nodes.filter("n > 0").select("node", "copies", F.explode(prefix).alias("h"), parts.alias("parts")).select(F.explode("parts").alias("p"), "h", F.col("node").alias("id"), "copies").select(F.xxhash64("p", "h").alias("key"), "id", "copies")
+    rows = nodes.filter("n > 0").select("node", F.struct("copies", "n").alias("at"), F.explode(prefix).alias("h"), parts.alias("parts")).select(F.explode("parts").alias("p"), "h", F.col("node").alias("id"), "at").select(F.xxhash64("p", "h").alias("key"), "id", "at")
     sets = nodes.select("node", "s")
 
+    def possible(x: Column, y: Column) -> Column:
+        return F.least(x["n"], y["n"]) >= threshold * F.greatest(x["n"], y["n"])
+
     def verify(pairs: DataFrame) -> DataFrame:
         x, y = sets.select(F.col("node").alias("a"), F.col("s").alias("x")), sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
         return pairs.join(x, "a").join(y, "b").filter(jaccard(F.col("x"), F.col("y"), threshold) >= threshold).select("a", "b")
 
-    roots = save(components(link(members_of(rows.distinct()), verify)), "spot-roots")
+    roots = save(components(link(members_of(rows.distinct()), [-F.col("at.copies")], possible, verify)), "spot-roots")
     joined = nodes.select("node", "first").join(roots.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = save(joined.groupBy("root").agg(F.min("first").alias("class_id")), "spot-firsts")
     named = save(joined.join(firsts, "root").select("node", "class_id"), "spot-classes")
