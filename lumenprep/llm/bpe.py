@@ -190,7 +190,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder(dict):
     """From a slice to its ids as packed int32; at most `most` slices are held, then it starts afresh."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 600_000):
+    def __init__(self, ranks: dict[bytes, int], most: int = 200_000):
         super().__init__()
         self.ranks, self.most = ranks, most
         self.bytes_of = {i: b for b, i in ranks.items()}
@@ -249,7 +249,7 @@ def encode(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks)
         for batch in batches:
-            for a, b, texts in chunks(batch, "__text"):
+            for a, b, texts in chunks(batch, "__text", 1 << 19):
                 ids, counts, starts, pieces = enc.encode(texts)
                 ends = np.cumsum(pieces)
                 sums = np.concatenate([[0], np.cumsum(counts)])
@@ -292,7 +292,7 @@ def spans(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks)
         for batch in batches:
-            for a, b, texts in chunks(batch, "__text"):
+            for a, b, texts in chunks(batch, "__text", 1 << 19):
                 starts, ends, sizes = token_spans(enc, texts)
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:-1], _lists(starts, sizes), _lists(ends, sizes)], names=[*keep, *names])
 
