@@ -11,8 +11,9 @@ of the window nearest to the item (bit-parallel columns) must have edit similari
 
 Windows are as long as their item. To start one at every character of 100 TB is out of reach and not needed: a part of the
 text within `similarity` of an item of n characters keeps at least n - q + 1 - q * edits of its q-grams (edits = floor of
-(1 - similarity) n), so windows start where at least that many (and one at least) q-gram occurrences of an item lie on
-near diagonals. For n >= 81 and similarity 0.9 with q = 8 that bound is positive, so the choice of windows loses nothing.
+(1 - similarity) n), so windows start where that many q-gram occurrences of an item (q = 8, a share of SHARE at least) lie
+on near diagonals. Down to similarity 0.9 that loses nothing; from there to 0.85, the default, a part all of whose edits
+are spread evenly could keep fewer: tests measure the recall there.
 
 Texts and items are compared in small letters with every run of white space as one blank; spans are of the original text.
 
@@ -37,6 +38,7 @@ from .edits import best_infix
 from .shingles import U, mix
 
 Q = 8
+SHARE = 0.2
 SALT = U(0x9E3779B97F4A7C15)
 
 
@@ -120,7 +122,7 @@ class Items:
         self.seen = np.zeros(1 << self.filter_bits, bool)
         self.seen[self._slot(self.gram)] = True
         edits = np.floor((1 - similarity) * self.sizes + 1e-9)
-        self.need = np.maximum(1, self.sizes - Q + 1 - Q * edits).astype(np.int64)
+        self.need = np.maximum(1, np.maximum(self.sizes - Q + 1 - Q * edits, np.ceil(SHARE * (self.sizes - Q + 1)))).astype(np.int64)
         self.slack = np.maximum(1, edits).astype(np.int64)
         self.short = [i for i, n in enumerate(self.sizes) if 0 < n < Q]
         self.fractions = np.random.default_rng(1).random((walks, self.samples, bits))
@@ -212,7 +214,7 @@ class Items:
         return sorted(found.values())
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.9, recall: float = 0.99, agree: float = 0.2, bits: int = 2, walks: int = 8, block_chars: int = 2_000_000) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85, recall: float = 0.99, agree: float = 0.2, bits: int = 2, walks: int = 8, block_chars: int = 2_000_000) -> DataFrame:
     """doc_id, item_id, char_start, char_end, distance, similarity: each part of a text that is an item, or nearly."""
     spark = docs.sparkSession
     ship(spark)
@@ -246,7 +248,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.9, reca
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.9) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85) -> DataFrame:
     """docs without the rows whose text holds a benchmark item."""
     row = F.xxhash64("doc_id", "text")
     marked = docs.withColumn("__row", row)
