@@ -60,7 +60,7 @@ def collect(rows: DataFrame, files: DataFrame, by_bin: bool = False, uid: bool =
 
 
 def copy_files(found: DataFrame, root: str, move: bool = False) -> None:
-    """Copies (or moves) source_path to root/path through Hadoop's file systems, a task for each part; what exists stays."""
+    """Copies (or moves) source_path to root/path, on a file system that all machines mount, in parallel; what exists stays."""
     import pandas as pd
 
     def run(batches):  # noqa: ANN001, ANN202

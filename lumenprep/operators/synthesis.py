@@ -64,8 +64,9 @@ def request(send: Callable[[], tuple[int | None, str]], retries: int = 3, base:
 
 def call_model(df: DataFrame, prompt: str, send: Callable[[str], str], out: str = "response", error: str = "error") -> DataFrame:
     """df with the response of send(prompt) or the error of each row; as many calls at once as tasks run."""
-    names = [f.name for f in df.schema.fields]
-    schema = df.drop(out, error).schema.simpleString()[7:-1]
+    kept = df.drop(out, error)
+    names = kept.columns
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -75,9 +76,9 @@ def call_model(df: DataFrame, prompt: str, send: Callable[[str], str], out: str
                     got.append((send(p), None))
                 except Exception as e:  # a row's error stays with the row
                     got.append((None, str(e)))
-            yield batch[[n for n in names if n not in (out, error)]].assign(**{out: [g[0] for g in got], error: [g[1] for g in got]})
+            yield batch[names].assign(**{out: [g[0] for g in got], error: [g[1] for g in got]})
 
-    return df.mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.drop(out, error).schema.fields), f"{out} string", f"{error} string"]) if schema else "")
+    return df.mapInPandas(run, ", ".join([*kinds, f"{out} string", f"{error} string"]))
 
 
 def description(response: Column) -> tuple[Column, Column]:
