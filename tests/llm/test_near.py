@@ -179,3 +179,62 @@ def test_spotsigs(spark, tmp_path):
     assert op4_spotsigs(spark, str(tmp_path / "e")).count() == 0
     df.limit(1).write.parquet(str(tmp_path / "f/documents.parquet"))
     assert op4_spotsigs(spark, str(tmp_path / "f")).first()["near_next"] == 1.0
+
+
+def typed(rng, text, edits):
+    z = list(text)
+    for _ in range(edits):
+        k, how = rng.randrange(len(z)), rng.random()
+        if how < 0.34:
+            z[k] = rng.choice("aeiou")
+        elif how < 0.67:
+            del z[k]
+        else:
+            z.insert(k, rng.choice("aeiou"))
+    return lines.normalise("".join(z))
+
+
+def line_recall(spark, bases, copies):
+    """Pairs by brute force on edit similarity alone, and those of them that end in one group: of lines, each a document."""
+    texts = sorted({*bases, *copies} - {""})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near = [(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(texts), 2) if edit_distance(a, b, int(0.1 * max(len(a), len(b)) + 1e-9)) is not None]
+    kept = {r["doc_id"] for r in lines.dedup_lines(df).collect() if not r["removed"]}
+    return near, unions(range(len(texts)), near), kept
+
+
+def test_line_typos_by_brute_force(spark):
+    rng = random.Random(8)
+    bases = [text_of(rng, n) for n in (10, 20, 30, 50, 120) for _ in range(40)]
+    few = [typed(rng, b, rng.choice((1, 2))) for b in bases]
+    near, root, kept = line_recall(spark, bases, few)
+    assert len(near) >= 195 and len(kept) <= len(set(root.values())) + 1 and set(root.values()) <= kept
+    many = [typed(rng, b, int(0.1 * len(b))) for b in bases]
+    near, root, kept = line_recall(spark, bases, many)
+    found = 1 - (len(kept) - len(set(root.values()))) / (len(root) - len(set(root.values())))
+    assert len(near) >= 150 and found >= 0.75
+
+
+def test_line_dedup_by_edit_similarity_alone(spark):
+    rng = random.Random(5)
+    pool = [text_of(rng, 60) for _ in range(8)]
+    pool += [p.replace(p.split()[7], "zz", 1) for p in pool] + [p[:-1] + "q" for p in pool] + ["short", "Short ", "", "  "]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(6)))) for i in range(40)]
+    rows += [(50, None), (51, ""), (52, rows[3][1]), (3, rows[3][1]), (None, "short\nonly here and nowhere else in all of this")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, line string, row int")
+    key = lambda d: (d is not None, d or 0)
+    seen = sorted({(key(d), j, lines.normalise(x)) for d, t in rows for j, x in enumerate((t or "").split("\n")) if lines.normalise(x)})
+    nodes = sorted({n for *_, n in seen})
+    near = [(a, b) for a, b in itertools.combinations(nodes, 2) if min(len(a), len(b)) >= 24 and edit_distance(a, b, int(0.1 * max(len(a), len(b)) + 1e-9)) is not None]
+    assert near
+    root = unions(nodes, near)
+    first = {}
+    for k, j, n in seen:
+        first.setdefault(root[n], (k, j))
+    got = lines.dedup_lines(df).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        t = next(t for d, t in rows if d == r["doc_id"])
+        kept = [x for j, x in enumerate((t or "").split("\n")) if not lines.normalise(x) or first[root[lines.normalise(x)]] == (key(r["doc_id"]), j)]
+        assert r["text"] == (None if t is None else "\n".join(kept))
+    assert lines.dedup_lines(df.limit(0)).count() == 0
