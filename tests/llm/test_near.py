@@ -203,6 +203,14 @@ def line_recall(spark, bases, copies):
     return near, unions(range(len(texts)), near), kept
 
 
+def test_short_lines_by_brute_force(spark):
+    rng = random.Random(7)
+    bases = [lines.normalise(text_of(rng, 5)[: rng.randrange(5, 27)]) for _ in range(250)] + ["page 1 of 9 next", "(c) 2019 by acme"]
+    copies = [typed(rng, b, rng.choice((1, 1, 2))) for b in bases] + ["page 2 of 9 next", "(c) 2020 by acme", "(c) 2018 by acme", "abcdefghi", "abcdefghij"]
+    near, root, kept = line_recall(spark, bases, copies)
+    assert len(near) > 150 and kept == set(root.values())
+
+
 def test_line_typos_by_brute_force(spark):
     rng = random.Random(8)
     bases = [text_of(rng, n) for n in (10, 20, 30, 50, 120) for _ in range(40)]
@@ -225,7 +233,7 @@ def test_line_dedup_by_edit_similarity_alone(spark):
     key = lambda d: (d is not None, d or 0)
     seen = sorted({(key(d), j, lines.normalise(x)) for d, t in rows for j, x in enumerate((t or "").split("\n")) if lines.normalise(x)})
     nodes = sorted({n for *_, n in seen})
-    near = [(a, b) for a, b in itertools.combinations(nodes, 2) if min(len(a), len(b)) >= 24 and edit_distance(a, b, int(0.1 * max(len(a), len(b)) + 1e-9)) is not None]
+    near = [(a, b) for a, b in itertools.combinations(nodes, 2) if edit_distance(a, b, int(0.1 * max(len(a), len(b)) + 1e-9)) is not None]
     assert near
     root = unions(nodes, near)
     first = {}
