@@ -1,19 +1,15 @@
-"""Benchmark decontamination: CGK embedding, repeated bit-sampling LSH over item-sized windows, exact edit verification.
-
-The CGK random walk reads a string with one pointer: at step t it writes the current character and moves on if a random
-bit of (t, character) says so; strings at small edit distance get embeddings at small Hamming distance, since walks that
-have parted meet again. Each of `walks` independent walks is embedded once for every item and every window; `samples`
-times, `bits` positions of it are drawn and the characters there hashed. A window and an item that share one such key are
-a candidate pair. With `agree` the share of positions on which a pair at the threshold agrees, walks * samples
-repetitions of bits positions reach `recall` (repetitions() says how many are needed). Candidates are verified: the part
-of the window nearest to the item (bit-parallel columns) must have edit similarity 1 - distance / item length of at least
-`similarity`.
-
-Windows are as long as their item. To start one at every character of 100 TB is out of reach and not needed: a part of the
-text within `similarity` of an item of n characters keeps at least n - q + 1 - q * edits of its q-grams (edits = floor of
-(1 - similarity) n), so windows start where that many q-gram occurrences of an item (q = 8, a share of SHARE at least) lie
-on near diagonals. Down to similarity 0.9 that loses nothing; from there to 0.85, the default, a part all of whose edits
-are spread evenly could keep fewer: tests measure the recall there.
+"""Benchmark decontamination: a lossless q-gram filter, then exact edit verification of each window that passes.
+
+A part of a text is an item, or nearly, if it has edit similarity 1 - distance / item length of at least `similarity`.
+Windows are as long as their item. To start one at every character of 100 TB is out of reach and not needed: such a part
+of an item of n characters keeps at least n - q + 1 - q * edits of its q-grams (edits = floor of (1 - similarity) n), on
+diagonals that are at most `edits` apart, so windows start where that many q-gram occurrences of an item are. Each item
+has the longest q up to Q for which the bound is at least ENOUGH (at 0.85 mostly 6). Windows that hold as many of the
+item's 4-grams as must be left are verified: the part nearest to the item is found by bit-parallel columns. Nothing is
+sampled, so every text with such a part is found; of parts that start within a quarter of an item the best counts.
+
+The CGK embedding (cgk(), repetitions()) reads a string by a random walk; windows chosen by its keys missed some planted
+passages and took more time than verifying all windows, so matches() has no use of it.
 
 Texts and items are compared in small letters with every run of white space as one blank; spans are of the original text.
 
@@ -38,7 +34,7 @@ from .edits import best_infix
 from .shingles import U, mix
 
 Q = 8
-SHARE = 0.2
+ENOUGH = 4
 SALT = U(0x9E3779B97F4A7C15)
 
 
@@ -73,14 +69,17 @@ def normalise(text: str) -> str:
 
 
 def grams(points: np.ndarray, q: int = Q) -> np.ndarray:
-    """Hash of the q-gram (q a power of two) at each position, by doubling."""
-    h = points.astype(U) + U(1)
-    step, mult = 1, 0x9E3779B97F4A7C15
-    while step < q and len(h) > step:
-        h = h[:-step] * U(mult) + h[step:]
-        mult = (mult * mult + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF | 1
-        step *= 2
-    return h if step >= q else np.empty(0, U)
+    """Hash of the q-gram at each position."""
+    h = np.zeros(max(0, len(points) - q + 1), U)
+    for k in range(q):
+        h = h * U(0x9E3779B97F4A7C15) + points[k : k + len(h)] + U(1)
+    return mix(h + U(q))
+
+
+def gram_size(n: int, edits: int) -> tuple[int, int]:
+    """(q, how many q-grams of n characters are left after so many edits): the longest q up to Q that leaves ENOUGH, or what leaves most."""
+    left = [(q, n - q + 1 - q * edits) for q in range(min(Q, n), 0, -1)]
+    return next((x for x in left if x[1] >= ENOUGH), max(left, key=lambda x: x[1]))
 
 
 def cgk(strings: np.ndarray, lengths: np.ndarray, steps: int, walk: np.ndarray) -> np.ndarray:
@@ -102,78 +101,70 @@ def cgk(strings: np.ndarray, lengths: np.ndarray, steps: int, walk: np.ndarray)
 class Items:
     """What a task needs of one block of items."""
 
-    def __init__(self, rows: list[tuple[int, str]], similarity: float, recall: float, agree: float, bits: int, walks: int):
+    def __init__(self, rows: list[tuple[int, str]], similarity: float):
         self.ids, self.texts = [r[0] for r in rows], [normalise(r[1] or "").strip() for r in rows]
-        self.similarity, self.bits, self.walks = similarity, bits, walks
-        self.samples = math.ceil(repetitions(recall, agree, bits) / walks)
+        self.similarity = similarity
         self.sizes = np.array([len(t) for t in self.texts], np.int64)
-        hashes, item, offset = [], [], []
-        for i, t in enumerate(self.texts):
-            g = grams(code_points(t))
-            hashes.append(g)
-            item.append(np.full(len(g), i))
-            offset.append(np.arange(len(g)))
-        h = np.concatenate(hashes) if hashes else np.empty(0, U)
-        order = np.argsort(h, kind="stable")
-        self.gram, self.item, self.offset = h[order], np.concatenate(item)[order], np.concatenate(offset)[order]
-        self.filter_bits = 20
-        while self.filter_bits < 27 and 64 * len(h) > 1 << self.filter_bits:
-            self.filter_bits += 1
-        self.seen = np.zeros(1 << self.filter_bits, bool)
-        self.seen[self._slot(self.gram)] = True
-        edits = np.floor((1 - similarity) * self.sizes + 1e-9)
-        self.need = np.maximum(1, np.maximum(self.sizes - Q + 1 - Q * edits, np.ceil(SHARE * (self.sizes - Q + 1)))).astype(np.int64)
-        self.slack = np.maximum(1, edits).astype(np.int64)
+        edits = np.floor((1 - similarity) * self.sizes + 1e-9).astype(np.int64)
+        self.slack = np.maximum(1, edits)
+        chosen = [gram_size(int(n), int(e)) if n >= Q else (Q, 1) for n, e in zip(self.sizes, edits, strict=True)]
+        self.need = np.array([max(1, left) for _, left in chosen], np.int64)
+        self.fours = [[t[k : k + 4] for k in range(len(t) - 3)] for t in self.texts]
+        self.grams = []  # of each q: seen, distinct grams, where each begins, item, offset
+        for q in sorted({q for q, _ in chosen}):
+            mine = [i for i, x in enumerate(chosen) if x[0] == q and self.sizes[i] >= q]
+            if not mine:
+                continue
+            hashes = [grams(code_points(self.texts[i]), q) for i in mine]
+            h, count = np.concatenate(hashes), [len(g) for g in hashes]
+            order = np.argsort(h, kind="stable")
+            bits_ = 20
+            while bits_ < 27 and 64 * len(h) > 1 << bits_:
+                bits_ += 1
+            seen = np.zeros(1 << bits_, bool)
+            seen[self._slot(h, bits_)] = True
+            distinct = np.unique(h)
+            first = np.append(np.searchsorted(h[order], distinct), len(h))
+            self.grams.append((q, bits_, seen, distinct, first, np.repeat(mine, count)[order], np.concatenate([np.arange(n) for n in count])[order]))
         self.short = [i for i, n in enumerate(self.sizes) if 0 < n < Q]
-        self.fractions = np.random.default_rng(1).random((walks, self.samples, bits))
-        self.keys = np.empty((0, walks * self.samples), U)
-        if len(self.texts):
-            grid = np.zeros((len(self.texts), max(1, int(self.sizes.max()))), np.uint32)
-            for i, t in enumerate(self.texts):
-                grid[i, : len(t)] = code_points(t)
-            self.keys = self.sampled(grid, self.sizes, self.sizes)
-
-    def _slot(self, h: np.ndarray) -> np.ndarray:
-        return ((h * U(0xD6E8FEB86659FD93)) >> U(64 - self.filter_bits)).astype(np.int64)
-
-    def sampled(self, grid: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """uint64 (strings, walks * samples): LSH keys; positions are drawn within twice the size of the item."""
-        n = len(grid)
-        walk = np.repeat(np.arange(self.walks), n)
-        embedded = cgk(np.tile(grid, (self.walks, 1)), np.tile(lengths, self.walks), 2 * int(sizes.max()), walk)
-        out = np.empty((n, self.walks * self.samples), U)
-        for w in range(self.walks):
-            e = embedded[w * n : (w + 1) * n]
-            for s in range(self.samples):
-                k = np.full(n, (w << 16) + s, U)
-                for j in range(self.bits):
-                    k = mix(k + e[np.arange(n), (self.fractions[w, s, j] * 2 * sizes).astype(np.int64)].astype(U) * SALT)
-                out[:, w * self.samples + s] = k
-        return out
-
-    def windows(self, points: np.ndarray) -> list[tuple[int, int]]:
-        """(item, start) of the windows with enough of an item's q-grams, over the code points of joined texts."""
-        h = grams(points)
-        if not len(h) or not len(self.gram):
-            return []
-        at = np.flatnonzero(self.seen[self._slot(h)])
-        g = h[at]
-        a, b = np.searchsorted(self.gram, g, "left"), np.searchsorted(self.gram, g, "right")
-        n = b - a
+
+    @staticmethod
+    def _slot(h: np.ndarray, bits: int) -> np.ndarray:
+        return (h >> U(64 - bits)).astype(np.int64)
+
+    def windows(self, points: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, first and last diagonal) of the windows with enough of an item's q-grams, over the code points of joined texts."""
+        return [w for part in self.grams for w in self._windows(points, *part)]
+
+    def _windows(self, points: np.ndarray, q: int, bits: int, seen: np.ndarray, distinct: np.ndarray, first: np.ndarray, of: np.ndarray, offset: np.ndarray) -> list[tuple[int, int, int]]:
+        h = grams(points, q)
+        at = np.flatnonzero(seen[self._slot(h, bits)])
+        k = np.minimum(np.searchsorted(distinct, h[at]), len(distinct) - 1)
+        there = distinct[k] == h[at]
+        at, k = at[there], k[there]
+        a, n = first[k], first[k + 1] - first[k]
         which = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        item, start = self.item[which], np.repeat(at, n) - self.offset[which]
-        order = np.lexsort((start, item))
-        item, start = item[order], start[order]
-        # From each hit on, the hits of its item whose diagonal is at most 2 * slack further.
-        joint = item.astype(np.int64) * (1 << 40) + start + (1 << 20)
-        until = np.searchsorted(joint, joint + 2 * self.slack[item], "right")
-        enough = np.flatnonzero(until - np.arange(len(joint)) >= self.need[item])
-        out: list[tuple[int, int]] = []
-        for k in enough.tolist():
-            i, s = int(item[k]), int((start[k] + start[until[k] - 1]) // 2)
-            if not out or out[-1][0] != i or s > out[-1][1] + max(int(self.slack[i]), int(self.sizes[i]) // 4):
-                out.append((i, s))
-        return out
+        item, start = of[which], np.repeat(at, n) - offset[which]
+        joint = np.sort(item.astype(np.int64) * (1 << 40) + start + (1 << 20))
+        item, start = joint >> 40, (joint & ((1 << 40) - 1)) - (1 << 20)
+        # A hit with enough hits of its item whose diagonal is at most slack further: each edit moves it by one at most.
+        far = np.arange(len(joint)) + self.need[item] - 1
+        enough = np.flatnonzero(far < len(joint))
+        enough = enough[joint[far[enough]] - joint[enough] <= self.slack[item[enough]]]
+        until = np.searchsorted(joint, joint[enough] + self.slack[item[enough]], "right")
+        out: list[list[int]] = []
+        for i, x, y in zip(item[enough].tolist(), start[enough].tolist(), start[until - 1].tolist(), strict=True):
+            # One window with those that start near its first; the diagonals of a part within the edits are all from x to y.
+            if out and out[-1][0] == i and x <= out[-1][3] + max(int(self.slack[i]), int(self.sizes[i]) // 4):
+                out[-1][2] = max(out[-1][2], y)
+            else:
+                out.append([i, x, y, x])
+        return [(i, x, y) for i, x, y, _ in out]
+
+    def likely(self, i: int, part: str) -> bool:
+        """Whether as many of the item's 4-grams are in the part as must be; loses nothing."""
+        there = {part[k : k + 4] for k in range(len(part) - 3)}
+        return sum(g in there for g in self.fours[i]) >= len(self.fours[i]) - 4 * int(self.slack[i])
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, float]]:
         """(text, item, start, end, distance, similarity), spans in the original texts."""
@@ -189,21 +180,21 @@ class Items:
             found.setdefault((t, i, y), (t, i, int(at[x] - origin[t]), int(at[y - 1] + 1 - origin[t]), distance, 1 - distance / int(self.sizes[i])))
 
         if windows := self.windows(points):
-            item, starts = np.array(windows, np.int64).T
+            item, first, last = np.array(windows, np.int64).T
             size, slack = self.sizes[item], self.slack[item]
-            of = np.clip(np.searchsorted(begin, np.maximum(starts, 0) + np.minimum(size - 1, slack), "right") - 1, 0, len(texts) - 1)
-            low, high = begin[of], begin[of + 1] - 1
-            start = np.clip(starts, low, np.maximum(low, high - 1))
-            for part in range(0, len(item), 4096):
-                cut = slice(part, part + 4096)
-                grid = points[np.minimum(start[cut, None] + np.arange(int(size[cut].max()))[None, :], len(points) - 1)]
-                keys = self.sampled(grid, np.minimum(size[cut], high[cut] - start[cut]), size[cut])
-                for k in (np.flatnonzero((keys == self.keys[item[cut]]).any(axis=1)) + part).tolist():
-                    i, more = int(item[k]), 2 * int(slack[k])
-                    a, b = max(int(low[k]), int(start[k]) - more), min(int(high[k]), int(start[k] + size[k]) + more)
-                    distance, x, y = best_infix(self.texts[i], text_of(a, b))
-                    if y > x and 1 - distance / int(size[k]) >= self.similarity - 1e-12:
-                        put(int(of[k]), i, a + x, a + y, distance)
+            # Every text that the window, as far as its item can reach, has a part in.
+            a, b = np.maximum(first - 2 * slack, 0), np.minimum(last + size + 2 * slack, len(points))
+            for k in range(len(item)):
+                i = int(item[k])
+                for t in range(int(np.searchsorted(begin, a[k], "right")) - 1, int(np.searchsorted(begin, b[k], "left"))):
+                    if t >= len(texts):
+                        break
+                    x, y = max(int(a[k]), int(begin[t])), min(int(b[k]), int(begin[t + 1]) - 1)
+                    if y - x < size[k] - slack[k] or not self.likely(i, part := text_of(x, y)):
+                        continue
+                    distance, start, end = best_infix(self.texts[i], part)
+                    if end > start and 1 - distance / int(size[k]) >= self.similarity - 1e-12:
+                        put(t, i, x + start, x + end, distance)
         for i in self.short:
             for t in range(len(texts)):
                 text = text_of(begin[t], begin[t + 1] - 1)
@@ -214,7 +205,7 @@ class Items:
         return sorted(found.values())
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85, recall: float = 0.99, agree: float = 0.2, bits: int = 2, walks: int = 8, block_chars: int = 2_000_000) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85, block_chars: int = 2_000_000) -> DataFrame:
     """doc_id, item_id, char_start, char_end, distance, similarity: each part of a text that is an item, or nearly."""
     spark = docs.sparkSession
     ship(spark)
@@ -229,7 +220,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85, rec
         rows = [(r["item_id"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).groupBy("item_id").agg(F.min("text").alias("text")).orderBy("item_id").collect()]
         if not rows:
             continue
-        held = spark.sparkContext.broadcast(Items(rows, similarity, recall, agree, bits, walks))
+        held = spark.sparkContext.broadcast(Items(rows, similarity))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             block_items = held.value

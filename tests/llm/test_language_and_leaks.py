@@ -109,3 +109,22 @@ def test_pipeline(spark):
             assert not any(decon.normalise(b).strip() in decon.normalise(r["text"]) for r in kept.select("text").collect() for b in bench)
         if name == "byte-level BPE":
             assert kept.count() == before.count() and kept.filter("n_tokens <> size(ids)").count() == 0
+
+
+@pytest.mark.parametrize("similarity", [0.85, 0.86, 0.88, 0.9])
+@pytest.mark.parametrize("spread", [True, False])
+def test_leaks_at_the_threshold(similarity, spread):
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("etaoinshr ") for _ in range(n))
+    rows = [(i, decon.normalise("x" + text(n - 2) + "x")) for i, n in enumerate([20, 40, 60, 95, 100, 150, 200, 300, 400] * 4)]
+    leaks = []
+    for i, t in rows:
+        z, k = list(t), int((1 - similarity) * len(t) + 1e-9)
+        places = [int((j + 0.5) * len(t) / k) for j in range(k)] if spread else rng.sample(range(len(t)), k)
+        for p in sorted(places, reverse=True):
+            how = rng.randrange(3)
+            z[p : p + (how != 1)] = [] if how == 0 else ["#"]
+        leaks.append(text(200) + "".join(z) + text(200))
+    items = decon.Items(rows, similarity)
+    near = {(t, i) for t, leak in enumerate(leaks) for i, item in rows if decon.best_infix(item, decon.normalise(leak))[0] <= (1 - similarity) * len(item) + 1e-9}
+    assert len(near) >= 30 and {m[:2] for m in items.matches(leaks)} == near
