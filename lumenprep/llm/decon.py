@@ -14,9 +14,10 @@ passages and took more time than verifying all windows, so matches() has no use
 Texts and items are compared in small letters with every run of white space as one blank; spans are of the original text.
 
 The benchmark is read in blocks of at most `block_chars` characters, a query set of stated size against all rows; each
-block is one pass. Defined results: null texts and items are empty and match nothing; an item shorter than q must occur
-exactly; repeated rows each have their matches; repeated items with one item_id count once; an empty table on either side
-gives an empty result; other columns are ignored.
+block is one pass. Defined results: null texts and items are empty and match nothing; benchmark rows with a null item_id
+are not searched for, as a match could not name them; an item shorter than Q that the threshold allows no edit must occur
+exactly; repeated rows each have their matches; equal rows of the benchmark count once, and different texts under one
+item_id are each searched for; an empty table on either side gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ class Items:
         self.sizes = np.array([len(t) for t in self.texts], np.int64)
         edits = np.floor((1 - similarity) * self.sizes + 1e-9).astype(np.int64)
         self.slack = np.maximum(1, edits)
-        chosen = [gram_size(int(n), int(e)) if n >= Q else (Q, 1) for n, e in zip(self.sizes, edits, strict=True)]
+        chosen = [gram_size(int(n), int(e)) if n >= Q or e else (Q, 1) for n, e in zip(self.sizes, edits, strict=True)]
         self.need = np.array([max(1, left) for _, left in chosen], np.int64)
         self.fours = [[t[k : k + 4] for k in range(len(t) - 3)] for t in self.texts]
         self.grams = []  # of each q: seen, distinct grams, where each begins, item, offset
@@ -126,7 +127,7 @@ class Items:
             distinct = np.unique(h)
             first = np.append(np.searchsorted(h[order], distinct), len(h))
             self.grams.append((q, bits_, seen, distinct, first, np.repeat(mine, count)[order], np.concatenate([np.arange(n) for n in count])[order]))
-        self.short = [i for i, n in enumerate(self.sizes) if 0 < n < Q]
+        self.short = [i for i, n in enumerate(self.sizes) if 0 < n < Q and not edits[i]]
 
     @staticmethod
     def _slot(h: np.ndarray, bits: int) -> np.ndarray:
@@ -217,7 +218,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85, blo
     out = None
     for block in range(blocks):
         # About block_chars characters: bounded, whatever the benchmark's size.
-        rows = [(r["item_id"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).groupBy("item_id").agg(F.min("text").alias("text")).orderBy("item_id").collect()]
+        rows = [(r["item_id"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().orderBy("item_id", "text").collect()]
         if not rows:
             continue
         held = spark.sparkContext.broadcast(Items(rows, similarity))

@@ -128,3 +128,12 @@ def test_leaks_at_the_threshold(similarity, spread):
     items = decon.Items(rows, similarity)
     near = {(t, i) for t, leak in enumerate(leaks) for i, item in rows if decon.best_infix(item, decon.normalise(leak))[0] <= (1 - similarity) * len(item) + 1e-9}
     assert len(near) >= 30 and {m[:2] for m in items.matches(leaks)} == near
+
+
+def test_every_text_of_an_item_and_short_items(spark):
+    one, other = "the first text of an item that has two", "a wholly different passage under one id"
+    docs = spark.createDataFrame([(1, f"before {one} after"), (2, f"before {other} after"), (3, "say abzdefg now"), (4, "say abcdefg now"), (5, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, one), (7, other), (7, one), (8, "abcdefg")], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["distance"]) for r in decon.matches(docs, bench).collect())
+    assert got == [(1, 7, 0), (2, 7, 0), (3, 8, 1), (4, 8, 0)]
+    assert [r["doc_id"] for r in decon.decontaminate(docs, bench).collect()] == [5]
