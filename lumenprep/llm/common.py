@@ -59,6 +59,15 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[
 BITMAP_BITS = 23
 
 
+def bitmap(wanted: DataFrame, key: Column) -> np.ndarray:
+    """2**23 bits as uint64, set where the low bits of a key (already a hash) say: at most 2**17 rows come to the driver."""
+    words = wanted.select(key.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)).alias("s")).selectExpr("s div 64 AS w", "shiftleft(1L, cast(s % 64 AS int)) AS bit").groupBy("w").agg(F.bit_or("bit").alias("bits"))
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+    found = words.toArrow()
+    out[found["w"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
 def maybe_in(df: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
     """df with __maybe boolean: false where the key is certainly not in the one (long) column of `wanted`.
 

@@ -1,7 +1,10 @@
-"""Edit distance (insertions, deletions, substitutions of code points) by bit-parallel columns in Python's integers."""
+"""Edit distance (insertions, deletions, substitutions of code points): of one pair by bit-parallel columns in Python's
+integers, of many pairs at once by furthest-reaching diagonals in numpy."""
 
 from __future__ import annotations
 
+import numpy as np
+
 
 def _masks(pattern: str) -> dict[str, int]:
     out: dict[str, int] = {}
@@ -79,3 +82,76 @@ def best_infix(pattern: str, text: str) -> tuple[int, int, int]:
     end = scores.index(least)
     back = scan(pattern[::-1], text[:end][::-1], False)
     return least, end - (len(back) - 1 - back[::-1].index(least)), end
+
+
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(of each place of the joined texts, the characters from there on that fill 64 bits; starts; sizes; characters a word)."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    distinct, dense = np.unique(points, return_inverse=True)
+    bits = 8 if len(distinct) < 256 else 16 if len(distinct) < 65536 else 32
+    each = 64 // bits
+    padded = np.concatenate([dense.astype(np.uint64), np.zeros(each, np.uint64)])
+    words = np.zeros(len(points) + 1, np.uint64)
+    for k in range(each):
+        words |= padded[k : k + len(words)] << np.uint64(bits * k)
+    return words, np.cumsum(sizes) - sizes, sizes, each
+
+
+def within(xs: list[str], ys: list[str], most: list[int], cells: int = 1 << 18) -> np.ndarray:
+    """bool of each pair: whether its distance is at most its `most`. Exact; work in parts of about `cells` diagonals."""
+    n = len(xs)
+    out = np.zeros(n, bool)
+    limits = np.asarray(most, np.int64)
+    order = np.argsort(limits, kind="stable")
+    begin = 0
+    while begin < n:
+        end = begin + 1
+        while end < n and (end - begin + 1) * (2 * int(limits[order[end]]) + 1) <= cells:
+            end += 1
+        part = order[begin:end]
+        out[part] = _within([xs[i] for i in part], [ys[i] for i in part], limits[part])
+        begin = end
+    return out
+
+
+def _within(xs: list[str], ys: list[str], most: np.ndarray) -> np.ndarray:
+    words, starts, sizes, each = _words(xs + ys)
+    bits, n = np.uint64(64 // each), len(xs)
+    x0, y0, nx, ny = starts[:n], starts[n:], sizes[:n], sizes[n:]
+    out = np.zeros(n, bool)
+    live = np.flatnonzero(np.abs(nx - ny) <= most)
+    widest = int(most[live].max()) if len(live) else 0
+    # reach[p, k]: how far in x the diagonal k - widest - 1 (of y minus x) has come with e edits; -1 at either side.
+    reach = np.full((len(live), 2 * widest + 3), -2, np.int64)
+    for e in range(widest + 1):
+        diagonals = np.arange(widest + 1 - e, widest + 2 + e)
+        shift = diagonals - widest - 1
+        if e == 0:
+            at = np.zeros((len(live), 1), np.int64)
+        else:
+            old = reach[:, diagonals[0] - 1 : diagonals[-1] + 2]
+            at = np.maximum(np.maximum(old[:, 1:-1] + 1, old[:, 2:] + 1), old[:, :-2])
+        end = np.minimum(nx[live][:, None], ny[live][:, None] - shift)
+        at = np.minimum(at, end)
+        at = np.where(at < np.maximum(0, -shift), -2, at)
+        flat, stop = at.ravel(), end.ravel()
+        row = np.repeat(live, len(shift))
+        here = np.flatnonzero((flat >= 0) & (flat < stop))
+        x_base, y_base = x0[row], y0[row] + np.tile(shift, len(live))
+        while len(here):
+            place = flat[here]
+            differ = words[x_base[here] + place] ^ words[y_base[here] + place]
+            same = np.where(differ == 0, each, (np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) // bits).astype(np.int64))
+            flat[here] = np.minimum(place + same, stop[here])
+            here = here[(same == each) & (flat[here] < stop[here])]
+        reach[:, diagonals] = at = flat.reshape(at.shape)
+        last = ny[live] - nx[live] + widest + 1
+        done = (np.abs(ny[live] - nx[live]) <= e) & (reach[np.arange(len(live)), np.clip(last, 0, reach.shape[1] - 1)] >= nx[live])
+        out[live[done]] = True
+        stay = ~done & (most[live] > e)
+        if not stay.all():
+            live, reach = live[stay], reach[stay]
+        if not len(live):
+            break
+    return out

@@ -114,32 +114,6 @@ def test_edit_distance():
         assert least == min(levenshtein(a, b[i:j]) for i in range(len(b) + 1) for j in range(i, len(b) + 1)) == levenshtein(a, b[x:y])
 
 
-def test_line_dedup(spark):
-    rng = random.Random(5)
-    pool = [text_of(rng, 60) for _ in range(8)]
-    pool += [p.replace(p.split()[7], "zz", 1) for p in pool] + [p[:-1] + "q" for p in pool] + ["short", "Short ", "", "  "]
-    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(6)))) for i in range(40)]
-    rows += [(50, None), (51, ""), (52, rows[3][1]), (3, rows[3][1]), (None, "short\nonly here and nowhere else in all of this")]
-    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, line string, row int")
-    key = lambda d: (d is not None, d or 0)
-    seen = sorted({(key(d), j, lines.normalise(x)) for d, t in rows for j, x in enumerate((t or "").split("\n")) if lines.normalise(x)})
-    nodes = sorted({n for *_, n in seen})
-    h = lines.simhashes(nodes)
-    near = [(a, b) for (i, a), (j, b) in itertools.combinations(enumerate(nodes), 2) if min(len(a), len(b)) >= 24 and int(h[i] ^ h[j]).bit_count() <= 3 and edit_distance(a, b, int(0.1 * max(len(a), len(b)) + 1e-9)) is not None]
-    assert near
-    root = unions(nodes, near)
-    first = {}
-    for k, j, n in seen:
-        first.setdefault(root[n], (k, j))
-    got = lines.dedup_lines(df).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        t = next(t for d, t in rows if d == r["doc_id"])
-        kept = [x for j, x in enumerate((t or "").split("\n")) if not lines.normalise(x) or first[root[lines.normalise(x)]] == (key(r["doc_id"]), j)]
-        assert r["text"] == (None if t is None else "\n".join(kept))
-    assert lines.dedup_lines(df.limit(0)).count() == 0
-
-
 COMMON = set(spotsigs.COMMON)
 
 
