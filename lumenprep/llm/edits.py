@@ -98,7 +98,7 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     return words, np.cumsum(sizes) - sizes, sizes, each
 
 
-def within(xs: list[str], ys: list[str], most: list[int], cells: int = 1 << 18) -> np.ndarray:
+def within(xs: list[str], ys: list[str], most: list[int], cells: int = 1 << 17) -> np.ndarray:
     """bool of each pair: whether its distance is at most its `most`. Exact; work in parts of about `cells` diagonals."""
     n = len(xs)
     out = np.zeros(n, bool)
@@ -122,10 +122,17 @@ def _within(xs: list[str], ys: list[str], most: np.ndarray) -> np.ndarray:
     out = np.zeros(n, bool)
     live = np.flatnonzero(np.abs(nx - ny) <= most)
     widest = int(most[live].max()) if len(live) else 0
-    # reach[p, k]: how far in x the diagonal k - widest - 1 (of y minus x) has come with e edits; -1 at either side.
+    # reach[p, k]: how far in x the diagonal k - widest - 1 (of y minus x) has come with e edits; -2 where none did.
     reach = np.full((len(live), 2 * widest + 3), -2, np.int64)
     for e in range(widest + 1):
-        diagonals = np.arange(widest + 1 - e, widest + 2 + e)
+        if not len(live):
+            break
+        # The end is on the diagonal ny - nx: one that is further from there than the edits left is of no use any more.
+        left, off = int(most[live].max()) - e, ny[live] - nx[live]
+        low, high = max(-e, int(off.min()) - left), min(e, int(off.max()) + left)
+        if low > high:
+            break
+        diagonals = np.arange(low, high + 1) + widest + 1
         shift = diagonals - widest - 1
         if e == 0:
             at = np.zeros((len(live), 1), np.int64)
@@ -146,12 +153,10 @@ def _within(xs: list[str], ys: list[str], most: np.ndarray) -> np.ndarray:
             flat[here] = np.minimum(place + same, stop[here])
             here = here[(same == each) & (flat[here] < stop[here])]
         reach[:, diagonals] = at = flat.reshape(at.shape)
-        last = ny[live] - nx[live] + widest + 1
-        done = (np.abs(ny[live] - nx[live]) <= e) & (reach[np.arange(len(live)), np.clip(last, 0, reach.shape[1] - 1)] >= nx[live])
+        last = off + widest + 1
+        done = (np.abs(off) <= e) & (reach[np.arange(len(live)), np.clip(last, 0, reach.shape[1] - 1)] >= nx[live])
         out[live[done]] = True
         stay = ~done & (most[live] > e)
         if not stay.all():
             live, reach = live[stay], reach[stay]
-        if not len(live):
-            break
     return out

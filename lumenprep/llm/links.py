@@ -36,42 +36,37 @@ def link(
     possible: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame],
     known: DataFrame | None = None,
-    cell: Column | None = None,
-    shared: int = 1,
+    cells: Column | None = None,
 ) -> DataFrame:
     """Links (a, b), a < b. members: key, id and `at`, a struct of what possible(at, at) and hub_order (least first) look at.
 
-    known: links that are there already. cell: what parts a bucket's members among several hubs. shared: members that no
-    hub joins are compared if they share so many keys (1 or 2).
+    known: links that are there already. cells: an array of which two members of a bucket have an item in common if
+    possible() allows them; it parts the bucket (the first item is the cell of a member's hub).
     """
-    by = ["key"] if cell is None else ["key", "cell"]
-    celled = members if cell is None else members.withColumn("cell", cell)
+    by = ["key"] if cells is None else ["key", "cell"]
+    celled = members if cells is None else members.withColumn("cell", F.get(cells, F.lit(0)))
     hubs = celled.groupBy(*by).agg(F.min_by(F.struct("id", "at"), F.struct(*hub_order, "id")).alias("hub"))
     near = celled.join(hubs, by).filter((F.col("id") != F.col("hub.id")) & possible(F.col("at"), F.col("hub.at")))
     found = verify(ordered(near.select(F.col("hub.id").alias("a"), F.col("id").alias("b"))))
     stars = save(found if known is None else found.unionByName(known.select("a", "b")), "star-links")
     roots = save(components(stars), "star-roots")
-    rooted = save(members.join(roots, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root")), "rooted")
-    still = rooted.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("g")).filter("l <> g").select("key")
-    open_rows = save(rooted.join(still, "key"), "open-rows")
+    rooted = members.join(roots, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root"))
+    rooted = save(rooted if cells is None else rooted.withColumn("cell", F.explode(cells)), "rooted")
+    still = rooted.groupBy(*by).agg(F.min("root").alias("l"), F.max("root").alias("g")).filter("l <> g").select(*by)
+    open_rows = save(rooted.join(still, by), "open-rows")
     # All buckets of a member (as many as it has keys): a pair is made in the first bucket that both are in, and in no other.
-    held = F.sort_array(F.collect_set("key")).alias("keys")
-    parted = open_rows.join(open_rows.groupBy("id").agg(held).filter(F.size("keys") >= shared), "id")
-    if shared == 2:
-        parted = parted.withColumn("second", F.explode(F.filter("keys", lambda k: k > F.col("key"))))
-        several = parted.groupBy("key", "second").agg(F.min("root").alias("l"), F.max("root").alias("g")).filter("l <> g").select("key", "second")
-        parted = parted.join(several, ["key", "second"])
-    parted = save(parted, "parted")
-    x = parted.select(F.col("id").alias("a"), F.col("at").alias("x"), F.col("root").alias("rx"), F.col("keys").alias("kx"), F.col("key").alias("p"), *([F.col("second").alias("ps")] if shared == 2 else []))
-    y = parted.select(F.col("id").alias("b"), F.col("at").alias("y"), F.col("root").alias("ry"), F.col("keys").alias("ky"), F.col("key").alias("q"), *([F.col("second").alias("qs")] if shared == 2 else []))
-    both = F.array_intersect("kx", "ky")
-    once = F.get(both, F.lit(0)) == F.col("p")
-    meet = F.col("p") == F.col("q")
-    if shared == 2:
-        once, meet = once & (F.get(both, F.lit(1)) == F.col("ps")), meet & (F.col("ps") == F.col("qs"))
+    parted = save(open_rows.join(open_rows.groupBy("id").agg(F.collect_set("key").alias("keys")), "id"), "parted")
+    x = parted.select(*by, F.col("id").alias("a"), F.col("at").alias("x"), F.col("root").alias("rx"), F.col("keys").alias("kx"))
+    y = parted.select(*by, F.col("id").alias("b"), F.col("at").alias("y"), F.col("root").alias("ry"), F.col("keys").alias("ky"))
+    meet = x["key"] == y["key"]
+    if cells is not None:
+        meet = meet & (x["cell"] == y["cell"])
+    once = F.array_min(F.array_intersect("kx", "ky")) == x["key"]
     across = x.join(y, meet & (F.col("rx") < F.col("ry")) & possible(F.col("x"), F.col("y")) & once).select("a", "b")
     rest = save(verify(ordered(across)), "cross-links")
-    return save(stars.select("a", "b").unionByName(rest.select("a", "b")).distinct(), "all-links")
+    links = save(stars.select("a", "b").unionByName(rest.select("a", "b")).distinct(), "all-links")
+    drop(stars, roots, rooted, open_rows, parted, rest)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
