@@ -103,7 +103,9 @@ def within(xs: list[str], ys: list[str], most: list[int], cells: int = 1 << 17)
     n = len(xs)
     out = np.zeros(n, bool)
     limits = np.asarray(most, np.int64)
-    order = np.argsort(limits, kind="stable")
+    # Those with about the same limit and the same difference in length together: they need the same diagonals.
+    off = np.fromiter(map(len, ys), np.int64, n) - np.fromiter(map(len, xs), np.int64, n)
+    order = np.lexsort((off, np.ceil(np.log2(limits + 1) * 4)))
     begin = 0
     while begin < n:
         end = begin + 1

@@ -30,27 +30,29 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link(
+def joined(
     members: DataFrame,
     hub_order: list[Column],
     possible: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame],
-    known: DataFrame | None = None,
+    roots: DataFrame | None = None,
     cells: Column | None = None,
 ) -> DataFrame:
-    """Links (a, b), a < b. members: key, id and `at`, a struct of what possible(at, at) and hub_order (least first) look at.
+    """(id, root), written, of all that is joined to another. members: key, id and `at`, a struct of what possible(at, at)
+    and hub_order (least first) look at.
 
-    known: links that are there already. cells: an array of which two members of a bucket have an item in common if
-    possible() allows them; it parts the bucket (the first item is the cell of a member's hub).
+    roots: what is joined already. cells: an array of which two members of a bucket have an item in common if possible()
+    allows them; it parts the bucket (the first item is the cell of a member's hub).
     """
     by = ["key"] if cells is None else ["key", "cell"]
-    celled = members if cells is None else members.withColumn("cell", F.get(cells, F.lit(0)))
-    hubs = celled.groupBy(*by).agg(F.min_by(F.struct("id", "at"), F.struct(*hub_order, "id")).alias("hub"))
-    near = celled.join(hubs, by).filter((F.col("id") != F.col("hub.id")) & possible(F.col("at"), F.col("hub.at")))
-    found = verify(ordered(near.select(F.col("hub.id").alias("a"), F.col("id").alias("b"))))
-    stars = save(found if known is None else found.unionByName(known.select("a", "b")), "star-links")
-    roots = save(components(stars), "star-roots")
-    rooted = members.join(roots, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root"))
+    rooted = members.withColumn("root", F.col("id")) if roots is None else members.join(roots, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root"))
+    celled = rooted if cells is None else rooted.withColumn("cell", F.get(cells, F.lit(0)))
+    celled = celled if roots is None else save(celled, "celled")
+    hubs = celled.groupBy(*by).agg(F.min_by(F.struct("id", "at", "root"), F.struct(*hub_order, "id")).alias("hub"))
+    near = celled.join(hubs, by).filter((F.col("root") != F.col("hub.root")) & possible(F.col("at"), F.col("hub.at")))
+    stars = save(verify(ordered(near.select(F.col("hub.id").alias("a"), F.col("id").alias("b")))), "star-links")
+    first = merged(roots, stars)
+    rooted = members.join(first, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root"))
     rooted = save(rooted if cells is None else rooted.withColumn("cell", F.explode(cells)), "rooted")
     still = rooted.groupBy(*by).agg(F.min("root").alias("l"), F.max("root").alias("g")).filter("l <> g").select(*by)
     open_rows = save(rooted.join(still, by), "open-rows")
@@ -64,9 +66,28 @@ def link(
     once = F.array_min(F.array_intersect("kx", "ky")) == x["key"]
     across = x.join(y, meet & (F.col("rx") < F.col("ry")) & possible(F.col("x"), F.col("y")) & once).select("a", "b")
     rest = save(verify(ordered(across)), "cross-links")
-    links = save(stars.select("a", "b").unionByName(rest.select("a", "b")).distinct(), "all-links")
-    drop(stars, roots, rooted, open_rows, parted, rest)
-    return links
+    out = merged(first, rest)
+    drop(stars, first, rooted, open_rows, parted, rest, *([] if roots is None else [celled]))
+    return out
+
+
+def link(members: DataFrame, hub_order: list[Column], possible: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b), a < b, that join what joined() joins."""
+    return joined(members, hub_order, possible, verify).filter("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
+
+
+def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, root), written: components of links (a, b) and of what `roots` (id, root) has joined already."""
+    if roots is None:
+        return save(components(links), "roots")
+    x, y = roots.toDF("a", "x"), roots.toDF("b", "y")
+    between = ordered(links.join(x, "a", "left").join(y, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")).filter("a <> b"))
+    between = save(between, "between")
+    new = save(components(between), "new-roots")
+    old = roots.join(new.toDF("root", "above"), "root", "left").select("id", F.coalesce("above", "root").alias("root"))
+    out = save(old.unionByName(new.join(roots.select("id"), "id", "left_anti").select("id", "root")), "roots")
+    drop(between, new)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ similarity. Only regions up to rank (k ln k + 2k) / total weight are looked at,
 still empty: about k log k darts a text, however many shingles it has.
 
 Elements are five-word shingles; by default each weighs 1 (Jaccard of sets), with weighted=True its count in the text.
-Texts with equal elements and weights are one node; bands propose pairs of nodes, links.link() compares them exactly
-(similarity >= 0.8), links.components() makes classes. At 0.8 a pair shares one of 25 bands of 5 with probability 0.99995.
+Texts with equal elements and weights are one node; bands propose pairs of nodes, links.joined() compares them exactly
+(similarity >= 0.8) and makes classes. At 0.8 a pair shares one of 25 bands of 5 with probability 0.99995.
 
 Defined results: null or empty text, and text without a word, is alone in its class; fewer than five words are one
 shingle; a null doc_id is alone with a null class; repeated rows are in one class (the class of their text); class_id is
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, maybe_in, save, ship
-from .links import components, link, members_of
+from .links import joined, members_of
 from .shingles import U, mix, shingles
 
 BANDS, ROWS = 25, 5
@@ -183,8 +183,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, weighted: bool = False) ->
         both = F.size(F.array_intersect("x", "y"))
         return pairs.join(x, "a").join(y, "b").filter(both >= threshold * (F.col("nx") + F.col("ny") - both)).select("a", "b")
 
-    roots = save(components(link(left, [F.col("at.u") / F.col("at.n")], lambda x, y: _bound(x, y) >= threshold - 1e-9, verify)), "roots")
-    joined = nodes.select("id", "node", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    firsts = save(joined.groupBy("root").agg(F.min("first").alias("class_id")), "firsts")
-    named = save(joined.select("node", "root").join(firsts, "root").select("node", "class_id"), "classes")
+    roots = joined(left, [F.col("at.u") / F.col("at.n")], lambda x, y: _bound(x, y) >= threshold - 1e-9, verify)
+    rooted = nodes.select("id", "node", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    firsts = save(rooted.groupBy("root").agg(F.min("first").alias("class_id")), "firsts")
+    named = save(rooted.select("node", "root").join(firsts, "root").select("node", "class_id"), "classes")
     return sketched.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import save
-from .links import components, link, members_of
+from .links import joined, members_of
 
 # Common words of English, French, German and Spanish.
 COMMON = (
@@ -117,8 +117,8 @@ def classes(docs: DataFrame, threshold: float = 0.44) -> DataFrame:
         x, y = sets.select(F.col("node").alias("a"), F.col("s").alias("x")), sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
         return pairs.join(x, "a").join(y, "b").filter(jaccard(F.col("x"), F.col("y"), threshold) >= threshold).select("a", "b")
 
-    roots = save(components(link(members_of(rows.distinct()), [-F.col("at.copies")], possible, verify)), "spot-roots")
-    joined = nodes.select("node", "first").join(roots.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    firsts = save(joined.groupBy("root").agg(F.min("first").alias("class_id")), "spot-firsts")
-    named = save(joined.join(firsts, "root").select("node", "class_id"), "spot-classes")
+    roots = joined(members_of(rows.distinct()), [-F.col("at.copies")], possible, verify)
+    rooted = nodes.select("node", "first").join(roots.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    firsts = save(rooted.groupBy("root").agg(F.min("first").alias("class_id")), "spot-firsts")
+    named = save(rooted.join(firsts, "root").select("node", "class_id"), "spot-classes")
     return signed.select("doc_id", "node").join(named, "node", "left").select("doc_id", "class_id")
