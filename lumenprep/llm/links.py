@@ -30,47 +30,38 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def joined(
-    members: DataFrame,
-    hub_order: list[Column],
-    possible: Callable[[Column, Column], Column],
-    verify: Callable[[DataFrame], DataFrame],
-    roots: DataFrame | None = None,
-    cells: Column | None = None,
-) -> DataFrame:
+def joined(members: DataFrame, hub_order: list[Column], possible: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(id, root), written, of all that is joined to another. members: key, id and `at`, a struct of what possible(at, at)
-    and hub_order (least first) look at.
-
-    roots: what is joined already. cells: an array of which two members of a bucket have an item in common if possible()
-    allows them; it parts the bucket (the first item is the cell of a member's hub).
-    """
-    by = ["key"] if cells is None else ["key", "cell"]
-    rooted = members.withColumn("root", F.col("id")) if roots is None else members.join(roots, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root"))
-    celled = rooted if cells is None else rooted.withColumn("cell", F.get(cells, F.lit(0)))
-    celled = celled if roots is None else save(celled, "celled")
-    hubs = celled.groupBy(*by).agg(F.min_by(F.struct("id", "at", "root"), F.struct(*hub_order, "id")).alias("hub"))
-    near = celled.join(hubs, by).filter((F.col("root") != F.col("hub.root")) & possible(F.col("at"), F.col("hub.at")))
-    stars = save(verify(ordered(near.select(F.col("hub.id").alias("a"), F.col("id").alias("b")))), "star-links")
-    first = merged(roots, stars)
-    rooted = members.join(first, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root"))
-    rooted = save(rooted if cells is None else rooted.withColumn("cell", F.explode(cells)), "rooted")
-    still = rooted.groupBy(*by).agg(F.min("root").alias("l"), F.max("root").alias("g")).filter("l <> g").select(*by)
-    open_rows = save(rooted.join(still, by), "open-rows")
+    and hub_order (least first) look at."""
+    alone = members.withColumn("root", F.col("id"))
+    stars = save(verify(near_hubs(alone, hubs_of(alone, ["key"], hub_order), ["key"], possible)), "star-links")
+    first = merged(None, stars)
+    rooted = save(members.join(first, "id", "left").select("key", "id", "at", F.coalesce("root", "id").alias("root")), "rooted")
+    still = rooted.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("g")).filter("l <> g").select("key")
+    open_rows = save(rooted.join(still, "key"), "open-rows")
     # All buckets of a member (as many as it has keys): a pair is made in the first bucket that both are in, and in no other.
     parted = save(open_rows.join(open_rows.groupBy("id").agg(F.collect_set("key").alias("keys")), "id"), "parted")
-    x = parted.select(*by, F.col("id").alias("a"), F.col("at").alias("x"), F.col("root").alias("rx"), F.col("keys").alias("kx"))
-    y = parted.select(*by, F.col("id").alias("b"), F.col("at").alias("y"), F.col("root").alias("ry"), F.col("keys").alias("ky"))
-    meet = x["key"] == y["key"]
-    if cells is not None:
-        meet = meet & (x["cell"] == y["cell"])
+    x = parted.select("key", F.col("id").alias("a"), F.col("at").alias("x"), F.col("root").alias("rx"), F.col("keys").alias("kx"))
+    y = parted.select("key", F.col("id").alias("b"), F.col("at").alias("y"), F.col("root").alias("ry"), F.col("keys").alias("ky"))
     once = F.array_min(F.array_intersect("kx", "ky")) == x["key"]
-    across = x.join(y, meet & (F.col("rx") < F.col("ry")) & possible(F.col("x"), F.col("y")) & once).select("a", "b")
+    across = x.join(y, (x["key"] == y["key"]) & (F.col("rx") < F.col("ry")) & possible(F.col("x"), F.col("y")) & once).select("a", "b")
     rest = save(verify(ordered(across)), "cross-links")
     out = merged(first, rest)
-    drop(stars, first, rooted, open_rows, parted, rest, *([] if roots is None else [celled]))
+    drop(stars, first, rooted, open_rows, parted, rest)
     return out
 
 
+def hubs_of(rooted: DataFrame, by: list[str], hub_order: list[Column]) -> DataFrame:
+    """by, hub (id, at, root): of each bucket the member that is least by hub_order."""
+    return rooted.groupBy(*by).agg(F.min_by(F.struct("id", "at", "root"), F.struct(*hub_order, "id")).alias("hub"))
+
+
+def near_hubs(rooted: DataFrame, hubs: DataFrame, by: list[str], possible: Callable[[Column, Column], Column]) -> DataFrame:
+    """(a, b): each member with its bucket's hub, where possible() allows it and their roots differ."""
+    near = rooted.join(hubs, by).filter((F.col("root") != F.col("hub.root")) & possible(F.col("at"), F.col("hub.at")))
+    return ordered(near.select(F.col("hub.id").alias("a"), F.col("id").alias("b")))
+
+
 def link(members: DataFrame, hub_order: list[Column], possible: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (a, b), a < b, that join what joined() joins."""
     return joined(members, hub_order, possible, verify).filter("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
@@ -91,7 +82,7 @@ def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, root) of every end of a link: root is the least id of its component. Large stars and small stars in turn until nothing changes."""
+    """(id, root) of every end of a link: root is the least id of its component. Large stars and small stars in turn until all are stars."""
 
     def stars(edges: DataFrame, large: bool) -> DataFrame:
         pairs = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
@@ -103,18 +94,15 @@ def components(links: DataFrame) -> DataFrame:
             out = joined.select(F.explode(F.array(F.struct(F.col("least").alias("a"), F.col("a").alias("b")), F.struct(F.col("least").alias("a"), F.col("b")))).alias("e")).select("e.*")
         return save(out.filter("a <> b").distinct(), "edges")
 
-    def mark(edges: DataFrame) -> tuple:
-        r = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return (r[0], r[1])
+    def done(edges: DataFrame) -> bool:
+        """Whether each b has one a, and that is no b itself: then all edges are stars."""
+        several = edges.groupBy("b").agg(F.count("*").alias("n")).filter("n > 1").select("b")
+        return several.unionByName(edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").select("b")).isEmpty()
 
-    edges, seen = links, mark(links)
-    while seen[0]:
+    edges = links
+    while not done(edges):
         large = stars(edges, True)
         small = stars(large, False)
-        now = mark(small)
         old, edges = edges, small
         drop(large, *([] if old is links else [old]))
-        if now == seen:
-            break
-        seen = now
     return edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root")).unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("root")).distinct())
