@@ -237,14 +237,16 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values.astype(np.int32, copy=False)))
 
 
-def encode(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ranks: str = DEFAULT_RANKS) -> DataFrame:
-    """Per row: `keep`, ids array<int>, piece_starts array<int> (first character of each slice), piece_tokens array<int> (its number of ids)."""
-    names = ("ids", "piece_starts", "piece_tokens")
+def encode(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ranks: str = DEFAULT_RANKS, offsets: bool = True, decoded: str | None = None) -> DataFrame:
+    """Per row: `keep`, ids array<int>; with offsets piece_starts array<int> (first character of each slice) and piece_tokens
+    array<int> (its number of ids); with `decoded` a binary column so called, the bytes of the ids just as decode() gives them."""
+    names = ("ids", *(("piece_starts", "piece_tokens") if offsets else ()), *((decoded,) if decoded else ()))
     if set(names) & set(keep):
         raise ValueError(f"a kept column is called like one of {names}")
     ship(df.sparkSession)
     source = df.select(*keep, df[text].alias("__text"))
-    schema = T.StructType([*source.schema.fields[:-1], *(T.StructField(n, T.ArrayType(T.IntegerType())) for n in names)])
+    kinds = [T.BinaryType() if n == decoded else T.ArrayType(T.IntegerType()) for n in names]
+    schema = T.StructType([*source.schema.fields[:-1], *map(T.StructField, names, kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks)
@@ -254,8 +256,13 @@ def encode(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
                 ends = np.cumsum(pieces)
                 sums = np.concatenate([[0], np.cumsum(counts)])
                 per_text = sums[ends] - sums[ends - pieces]
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], _lists(ids, per_text), _lists(starts, pieces), _lists(counts, pieces)], names=[*keep, *names])
+                out = [_lists(ids, per_text)]
+                if offsets:
+                    out += [_lists(starts, pieces), _lists(counts, pieces)]
+                if decoded:
+                    last = np.cumsum(per_text).tolist()
+                    out.append(pa.array([enc.decode(ids[y - n : y].tolist()) for y, n in zip(last, per_text.tolist(), strict=True)], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:-1], *out], names=[*keep, *names])
 
     return source.mapInArrow(run, schema)
 

@@ -17,6 +17,7 @@ from itertools import groupby
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import ship
 from .template import Template, unescape, unescape_line
@@ -36,7 +37,7 @@ def render(turns: DataFrame, template: str = CHAT) -> DataFrame:
     """
     ship(turns.sparkSession)
     Template(template)  # an error shows here, not in a task
-    key = turns.schema["conv_id"].dataType.simpleString()
+    key, kind = turns.schema["conv_id"].dataType.simpleString(), to_arrow_type(turns.schema["conv_id"].dataType)
     source = (
         turns.select("conv_id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "turn")
         .repartition("conv_id")
@@ -46,7 +47,7 @@ def render(turns: DataFrame, template: str = CHAT) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = Template(template)
-        schema = pa.schema([("conv_id", pa.int64() if key == "bigint" else pa.string()), ("part", pa.int64()), ("formatted", pa.string()), ("mask", pa.list_(pa.list_(pa.int32())))])
+        schema = pa.schema([("conv_id", kind), ("part", pa.int64()), ("formatted", pa.string()), ("mask", pa.list_(pa.list_(pa.int32())))])
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
         held: list[tuple] = []
         size = 0
@@ -79,11 +80,11 @@ def turns_of(text: str) -> tuple[list[tuple[str, str]], str]:
 def digests(formatted: DataFrame) -> DataFrame:
     """Reads conversations back from render()'s output with CHAT, which must come as it was partitioned and ordered there."""
     ship(formatted.sparkSession)
-    key = formatted.schema["conv_id"].dataType.simpleString()
+    key, kind = formatted.schema["conv_id"].dataType.simpleString(), to_arrow_type(formatted.schema["conv_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        schema = pa.schema([("conv_id", pa.int64() if key == "bigint" else pa.string()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+        schema = pa.schema([("conv_id", kind), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
         held: list[tuple] = []
         for conv, own in groupby(rows, lambda r: r[0]):
             turns, loss, n, chars, loss_chars, left = hashlib.sha256(), hashlib.sha256(), 0, 0, 0, ""

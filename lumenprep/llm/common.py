@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+BATCH_SETTING, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors' Python, once an application, so that its functions can be loaded there."""
+    """Sends this package to the executors' Python, once an application, so that its functions can be loaded there.
+
+    Batches on their way to Python are bounded to BATCH bytes (and a row), where the session has Spark's own 64 MB.
+    """
+    if spark.conf.get(BATCH_SETTING, "64m") in ("67108864b", "64m"):
+        spark.conf.set(BATCH_SETTING, BATCH)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -44,16 +51,19 @@ def code_points(text: str) -> np.ndarray:
 
 
 def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[tuple[int, int, list[str]]]:
-    """(first row, end row, texts) of parts of a batch with about `most` characters (a longer text alone); nulls are empty."""
-    texts = [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
-    start, held = 0, 0
-    for i, x in enumerate(texts):
-        if held and held + len(x) > most:
-            yield start, i, texts[start:i]
-            start, held = i, 0
-        held += len(x)
-    if start < len(texts):
-        yield start, len(texts), texts[start:]
+    """(first row, end row, texts) of parts of a batch of about `most` bytes (a longer text alone); nulls are empty.
+
+    Only one part at a time is held as Python strings, and what Arrow has freed goes back when a batch is done.
+    """
+    texts = batch.column(batch.schema.get_field_index(column))
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield start, end, [x or "" for x in texts.slice(start, end - start).to_pylist()]
+        start = end
+    pa.default_memory_pool().release_unused()
 
 
 BITMAP_BITS = 23

@@ -111,7 +111,7 @@ class Items:
         chosen = [gram_size(int(n), int(e)) if n >= Q or e else (Q, 1) for n, e in zip(self.sizes, edits, strict=True)]
         self.need = np.array([max(1, left) for _, left in chosen], np.int64)
         self.fours = [[t[k : k + 4] for k in range(len(t) - 3)] for t in self.texts]
-        self.grams = []  # of each q: seen, distinct grams, where each begins, item, offset
+        self.grams = []  # of each q: what _windows() takes
         for q in sorted({q for q, _ in chosen}):
             mine = [i for i, x in enumerate(chosen) if x[0] == q and self.sizes[i] >= q]
             if not mine:
@@ -119,14 +119,16 @@ class Items:
             hashes = [grams(code_points(self.texts[i]), q) for i in mine]
             h, count = np.concatenate(hashes), [len(g) for g in hashes]
             order = np.argsort(h, kind="stable")
-            bits_ = 20
+            bits_ = 21
             while bits_ < 27 and 64 * len(h) > 1 << bits_:
                 bits_ += 1
-            seen = np.zeros(1 << bits_, bool)
-            seen[self._slot(h, bits_)] = True
-            distinct = np.unique(h)
-            first = np.append(np.searchsorted(h[order], distinct), len(h))
-            self.grams.append((q, bits_, seen, distinct, first, np.repeat(mine, count)[order], np.concatenate([np.arange(n) for n in count])[order]))
+            distinct, size = np.unique(h, return_counts=True)
+            slots, at, run = np.unique(self._slot(distinct, bits_), return_index=True, return_counts=True)
+            where = np.zeros(1 << bits_, np.int32)  # from a slot to its first gram, counted from 1
+            where[slots] = at + 1
+            # An occurrence as a number: its item, and what the place of a hit has to be added to for the diagonal.
+            codes = (np.repeat(mine, count).astype(np.int64) * (1 << 40) + (1 << 20) - np.concatenate([np.arange(n) for n in count]))[order]
+            self.grams.append((q, bits_, where, int(run.max()), distinct, np.cumsum(size) - size, size, codes))
         self.short = [i for i, n in enumerate(self.sizes) if 0 < n < Q and not edits[i]]
 
     @staticmethod
@@ -137,35 +139,45 @@ class Items:
         """(item, first and last diagonal) of the windows with enough of an item's q-grams, over the code points of joined texts."""
         return [w for part in self.grams for w in self._windows(points, *part)]
 
-    def _windows(self, points: np.ndarray, q: int, bits: int, seen: np.ndarray, distinct: np.ndarray, first: np.ndarray, of: np.ndarray, offset: np.ndarray) -> list[tuple[int, int, int]]:
+    def _windows(self, points: np.ndarray, q: int, bits: int, where: np.ndarray, run: int, distinct: np.ndarray, first_of: np.ndarray, size: np.ndarray, codes: np.ndarray) -> list[tuple[int, int, int]]:
         h = grams(points, q)
-        at = np.flatnonzero(seen[self._slot(h, bits)])
-        k = np.minimum(np.searchsorted(distinct, h[at]), len(distinct) - 1)
-        there = distinct[k] == h[at]
-        at, k = at[there], k[there]
-        a, n = first[k], first[k + 1] - first[k]
-        which = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        item, start = of[which], np.repeat(at, n) - offset[which]
-        joint = np.sort(item.astype(np.int64) * (1 << 40) + start + (1 << 20))
+        k = where[self._slot(h, bits)]
+        at = np.flatnonzero(k)
+        h, k = h[at], k[at] - 1
+        found = np.where(distinct[k] == h, k, -1)
+        for further in range(1, run):
+            next_ = np.minimum(k + further, len(distinct) - 1)
+            found = np.where(distinct[next_] == h, next_, found)
+        at, k = at[found >= 0], found[found >= 0]
+        n = size[k]
+        which = np.repeat(first_of[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        joint = np.sort(codes[which] + np.repeat(at, n))
         item, start = joint >> 40, (joint & ((1 << 40) - 1)) - (1 << 20)
         # A hit with enough hits of its item whose diagonal is at most slack further: each edit moves it by one at most.
         far = np.arange(len(joint)) + self.need[item] - 1
         enough = np.flatnonzero(far < len(joint))
         enough = enough[joint[far[enough]] - joint[enough] <= self.slack[item[enough]]]
         until = np.searchsorted(joint, joint[enough] + self.slack[item[enough]], "right")
-        out: list[list[int]] = []
-        for i, x, y in zip(item[enough].tolist(), start[enough].tolist(), start[until - 1].tolist(), strict=True):
-            # One window with those that start near its first; the diagonals of a part within the edits are all from x to y.
-            if out and out[-1][0] == i and x <= out[-1][3] + max(int(self.slack[i]), int(self.sizes[i]) // 4):
-                out[-1][2] = max(out[-1][2], y)
-            else:
-                out.append([i, x, y, x])
-        return [(i, x, y) for i, x, y, _ in out]
+        if not len(enough):
+            return []
+        of, x, y = item[enough], start[enough], start[until - 1]
+        # One window of those that start near its first; the diagonals of a part within the edits are all from x to y.
+        reach = np.maximum(self.slack, self.sizes // 4)[of]
+        first = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (np.diff(x) > reach[1:])))
+        last = np.append(first[1:], len(of)) - 1
+        wide = x[last] - x[first] > reach[first]
+        out = list(zip(of[first][~wide].tolist(), x[first][~wide].tolist(), np.maximum.reduceat(y, first)[~wide].tolist(), strict=True))
+        for p, q in zip(first[wide].tolist(), last[wide].tolist(), strict=True):
+            while p <= q:
+                end = int(np.searchsorted(x[p : q + 1], x[p] + reach[p], "right")) + p
+                out.append((int(of[p]), int(x[p]), int(y[p:end].max())))
+                p = end
+        return out
 
     def likely(self, i: int, part: str) -> bool:
         """Whether as many of the item's 4-grams are in the part as must be; loses nothing."""
-        there = {part[k : k + 4] for k in range(len(part) - 3)}
-        return sum(g in there for g in self.fours[i]) >= len(self.fours[i]) - 4 * int(self.slack[i])
+        there = set(map("".join, zip(part, part[1:], part[2:], part[3:], strict=False)))
+        return sum(map(there.__contains__, self.fours[i])) >= len(self.fours[i]) - 4 * int(self.slack[i])
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, float]]:
         """(text, item, start, end, distance, similarity), spans in the original texts."""
@@ -242,7 +254,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85, blo
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85) -> DataFrame:
     """docs without the rows whose text holds a benchmark item."""
-    row = F.xxhash64("doc_id", "text")
+    row = F.struct("doc_id", F.xxhash64("text").alias("text"))
     marked = docs.withColumn("__row", row)
     hit = save(matches(marked.select(F.col("__row").alias("doc_id"), "text"), benchmark, similarity).select(F.col("doc_id").alias("__row")).distinct(), "contaminated")
     some = maybe_in(marked, F.col("__row"), hit)

@@ -88,8 +88,13 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(of each place of the joined texts, the characters from there on that fill 64 bits; starts; sizes; characters a word)."""
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    distinct, dense = np.unique(points, return_inverse=True)
-    bits = 8 if len(distinct) < 256 else 16 if len(distinct) < 65536 else 32
+    dense, top = points, int(points.max(initial=0))
+    if top >= 256:  # a number for each character that is there, if that makes them fit into a byte
+        there = np.zeros(top + 1, bool)
+        there[points] = True
+        if np.count_nonzero(there) < 256:
+            dense, top = (np.cumsum(there) - 1)[points], 255
+    bits = 8 if top < 256 else 16 if top < 65536 else 32
     each = 64 // bits
     padded = np.concatenate([dense.astype(np.uint64), np.zeros(each, np.uint64)])
     words = np.zeros(len(points) + 1, np.uint64)

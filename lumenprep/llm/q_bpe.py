@@ -9,14 +9,13 @@ from .common import table
 
 def digests(docs: DataFrame) -> DataFrame:
     """Encodes, decodes the ids, and hashes both; n_pieces and last_piece_start come from the retained offsets."""
-    coded = bpe.decode(bpe.encode(docs).withColumn("n_pieces", F.size("piece_starts").cast("long")).withColumn("last_piece_start", F.try_element_at("piece_starts", F.lit(-1)).cast("long")).drop("piece_starts", "piece_tokens"))
-    return coded.select(
+    return bpe.encode(docs, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        "n_pieces",
-        "last_piece_start",
+        F.size("piece_starts").cast("long").alias("n_pieces"),
+        F.try_element_at("piece_starts", F.lit(-1)).cast("long").alias("last_piece_start"),
     )
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import save, ship
+from .common import chunks, save, ship
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -65,8 +65,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[{"kind": k, "start": a, "end": b, "hash": hashlib.sha256(v.encode()).hexdigest(), "entropy": entropy(v)} for k, a, b, v in candidates(x or "")] for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, arrow)], names=["doc_id", "source", "found"])
+            for first, end, texts in chunks(batch, "text"):
+                rows = [[{"kind": k, "start": a, "end": b, "hash": hashlib.sha256(v.encode()).hexdigest(), "entropy": entropy(v)} for k, a, b, v in candidates(x)] for x in texts]
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, end - first).columns[:2], pa.array(rows, arrow)], names=["doc_id", "source", "found"])
 
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, source string, found {SPAN}")
 

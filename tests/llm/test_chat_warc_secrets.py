@@ -5,6 +5,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -46,6 +47,8 @@ def test_chat(spark):
         loss = "".join(x for _, _, r, x in own if r == "assistant")
         assert (out[c]["n_turns"], out[c]["loss_chars"], out[c]["loss_sha256"]) == (len(own), len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert chat.digests(chat.render(df.limit(0))).count() == 0
+    narrow = chat.digests(chat.render(df.withColumn("conv_id", F.col("conv_id").cast("int"))))
+    assert narrow.schema["conv_id"].dataType.simpleString() == "int" and {r["conv_id"]: r["turns_sha256"] for r in narrow.collect()} == {k: r["turns_sha256"] for k, r in out.items()}
     long = spark.createDataFrame([(9, i, "assistant", "t" * 500) for i in range(12_000)], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.render(long)).first()["loss_chars"] == 6_000_000
 
