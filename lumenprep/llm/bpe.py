@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import chunks, code_points, ship
+from .common import CACHES, chunks, code_points, hold, ship
 
 DEFAULT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -190,7 +190,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder(dict):
     """From a slice to its ids as packed int32; at most `most` slices are held, then it starts afresh."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], most: int = 100_000):
         super().__init__()
         self.ranks, self.most = ranks, most
         self.bytes_of = {i: b for b, i in ranks.items()}
@@ -223,6 +223,7 @@ class Encoder(dict):
 
 
 _ENCODERS: dict[str, Encoder] = {}
+CACHES[__name__] = _ENCODERS
 
 
 def encoder(path: str = DEFAULT_RANKS) -> Encoder:
@@ -249,9 +250,10 @@ def encode(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     schema = T.StructType([*source.schema.fields[:-1], *map(T.StructField, names, kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(__name__)
         enc = encoder(ranks)
         for batch in batches:
-            for a, b, texts in chunks(batch, "__text", 1 << 19):
+            for a, b, texts in chunks(batch, "__text", 1 << 18):
                 ids, counts, starts, pieces = enc.encode(texts)
                 ends = np.cumsum(pieces)
                 sums = np.concatenate([[0], np.cumsum(counts)])
@@ -275,6 +277,7 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", ranks: str = D
     schema = T.StructType([*source.schema.fields, T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(__name__)
         enc = encoder(ranks)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
@@ -297,9 +300,10 @@ def spans(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
     schema = T.StructType([*source.schema.fields[:-1], *(T.StructField(n, T.ArrayType(T.IntegerType())) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(__name__)
         enc = encoder(ranks)
         for batch in batches:
-            for a, b, texts in chunks(batch, "__text", 1 << 19):
+            for a, b, texts in chunks(batch, "__text", 1 << 18):
                 starts, ends, sizes = token_spans(enc, texts)
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:-1], _lists(starts, sizes), _lists(ends, sizes)], names=[*keep, *names])
 

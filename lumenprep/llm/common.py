@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -50,6 +52,23 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
+CACHES: dict[str, dict] = {}
+
+
+def hold(name: str) -> None:
+    """Says what this process needs now: what else it holds in CACHES (tables, slices that met before) goes."""
+    for other, held in CACHES.items():
+        if other != name:
+            held.clear()
+
+
+def _give_back() -> None:
+    """Memory that has been freed goes back to the system, where there is a way: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[tuple[int, int, list[str]]]:
     """(first row, end row, texts) of parts of a batch of about `most` bytes (a longer text alone); nulls are empty.
 
@@ -63,7 +82,7 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[
         end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield start, end, [x or "" for x in texts.slice(start, end - start).to_pylist()]
         start = end
-    pa.default_memory_pool().release_unused()
+    _give_back()
 
 
 BITMAP_BITS = 23

@@ -82,7 +82,7 @@ def attribute(docs: DataFrame, split: Callable[[str], list[tuple[int, int]]] = l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks)
         for batch in batches:
-            for a, b, texts in chunks(batch, "__text", 1 << 19):
+            for a, b, texts in chunks(batch, "__text", 1 << 18):
                 starts, ends, sizes = token_spans(enc, texts)
                 until = np.cumsum(sizes)
                 row, section, low, high, tokens, across = [], [], [], [], [], []
@@ -133,7 +133,7 @@ def attribute_fields(rows: DataFrame, fields: tuple[str, ...], key: str = "doc_i
         enc = encoder()
         for batch in batches:
             sizes = batch.column(2).to_pylist()
-            for a, b, texts in chunks(batch, "text", 1 << 19):
+            for a, b, texts in chunks(batch, "text", 1 << 18):
                 starts, ends, counts = token_spans(enc, texts)
                 until = np.cumsum(counts)
                 for i in range(len(texts)):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, code_points, maybe_in, save, ship
+from .common import chunks, code_points, hold, maybe_in, save, ship
 from .edits import best_infix
 from .shingles import U, mix
 
@@ -236,9 +236,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.85, blo
         held = spark.sparkContext.broadcast(Items(rows, similarity))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            hold(__name__)
             block_items = held.value
             for batch in batches:
-                for a, b, texts in chunks(batch, "text", 1 << 20):
+                for a, b, texts in chunks(batch, "text", 1 << 18):
                     if found := block_items.matches(texts):
                         ids = batch.column(0).slice(a, b - a)
                         t, i, x, y, d, s = zip(*found, strict=True)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, code_points, ship
+from .common import chunks, code_points, hold, ship
 
 UNDEFINED = "und"
 LETTERS = np.empty(0, np.uint32)
@@ -120,10 +120,11 @@ def train(docs: DataFrame, sample: int = 3000, bits: int = 16, alpha: float = 0.
     drawn = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(__name__)
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            for a, _, texts in chunks(batch, "text"):
+            for a, _, texts in chunks(batch, "text", 1 << 18):
                 for i, text in enumerate(texts):
                     counts.setdefault(langs[a + i], np.zeros(1 << bits, np.int64))
                     counts[langs[a + i]] += np.bincount(trigrams([text], bits)[0], minlength=1 << bits)
@@ -144,8 +145,9 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(__name__)
         for batch in batches:
-            for a, b, texts in chunks(batch, "__text", 1 << 19):
+            for a, b, texts in chunks(batch, "__text", 1 << 18):
                 shares, there = model.shares(texts)
                 order = np.argsort(-shares, axis=1, kind="stable")
                 chosen = [[j for j in row if s[j] > 0.01] if ok else [] for row, s, ok in zip(order.tolist(), shares, there, strict=True)]

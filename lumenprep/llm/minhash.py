@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, maybe_in, save, ship
+from .common import chunks, hold, maybe_in, save, ship
 from .links import joined, members_of
 from .shingles import U, mix, shingles
 
@@ -120,8 +120,9 @@ def sketch(docs: DataFrame, weighted: bool = False) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(__name__)
         for batch in batches:
-            for a, b, texts in chunks(batch, "text", 1 << 19):
+            for a, b, texts in chunks(batch, "text", 1 << 18):
                 h, n, of = shingles(texts)
                 n = n if weighted else np.ones_like(n)
                 keys = band_keys(signatures(h, n, of, len(texts)))
@@ -138,8 +139,9 @@ def elements(docs: DataFrame, weighted: bool = False) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(__name__)
         for batch in batches:
-            for _, _, texts in chunks(batch, "text", 1 << 19):
+            for _, _, texts in chunks(batch, "text", 1 << 18):
                 h, n, of = shingles(texts)
                 n = n if weighted else np.ones_like(n)
                 nodes = _nodes(h, n, of, len(texts))

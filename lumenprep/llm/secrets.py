@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, save, ship
+from .common import chunks, hold, save, ship
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -64,6 +64,7 @@ def scan(docs: DataFrame) -> DataFrame:
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("hash", pa.string()), ("entropy", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(__name__)
         for batch in batches:
             for first, end, texts in chunks(batch, "text"):
                 rows = [[{"kind": k, "start": a, "end": b, "hash": hashlib.sha256(v.encode()).hexdigest(), "entropy": entropy(v)} for k, a, b, v in candidates(x)] for x in texts]
