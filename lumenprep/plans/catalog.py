@@ -460,14 +460,15 @@ def keyed_last_wins(spark, sf_dir):
 
 def _merge(prefer: str) -> str:
     a, b = ("r", "o") if prefer == "retry" else ("o", "r")
-    return f"""WITH o AS (SELECT doc_id, n_chars AS v FROM documents WHERE doc_id % 3 <> 0), r AS (SELECT doc_id, -quality AS v FROM labels)
+    return f"""WITH o AS (SELECT doc_id, n_chars AS v FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 0)), r AS (SELECT doc_id, -quality AS v FROM labels)
 SELECT doc_id, CASE WHEN {a}.doc_id IS NOT NULL THEN {a}.v ELSE {b}.v END AS v, CASE WHEN o.doc_id IS NULL THEN 'retry' WHEN r.doc_id IS NULL THEN 'original' ELSE 'conflict' END AS origin
 FROM o FULL JOIN r USING (doc_id)"""
 
 
 def _merged(spark, sf_dir, prefer):
-    # The keys that a first run didn't reach stand for failures here: documents divisible by 3.
-    original = T.table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0").select("doc_id", F.col("n_chars").alias("v"), F.col("doc_id").alias("line_no"))
+    # What a first run has failed at: the documents labelled with quality 0.
+    failed = T.table(spark, sf_dir, "labels").filter("quality = 0").select("doc_id")
+    original = T.table(spark, sf_dir, "documents").join(failed, "doc_id", "left_anti").select("doc_id", F.col("n_chars").alias("v"), F.col("doc_id").alias("line_no"))
     retried = T.table(spark, sf_dir, "labels").select("doc_id", (-F.col("quality")).cast("long").alias("v"), F.col("doc_id").alias("line_no"))
     return R.merge(original, retried, "doc_id", prefer=prefer).select("doc_id", "v", "origin")
 
