@@ -23,7 +23,9 @@ def members_of(rows: DataFrame) -> DataFrame:
     Keys alone are counted first; a bitmap of those that occur again keeps most other rows out of the second shuffle.
     """
     several = save(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key"), "keys")
-    return save(maybe_in(rows, F.col("key"), several).filter("__maybe").drop("__maybe").join(several, "key"), "members")
+    out = save(maybe_in(rows, F.col("key"), several).filter("__maybe").drop("__maybe").join(several, "key"), "members")
+    drop(several)
+    return out
 
 
 def ordered(pairs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hold, maybe_in, save, ship
+from .common import chunks, drop, hold, maybe_in, save, ship
 from .links import joined, members_of
 from .shingles import U, mix, shingles
 
@@ -189,4 +189,5 @@ def classes(docs: DataFrame, threshold: float = 0.8, weighted: bool = False) ->
     rooted = nodes.select("id", "node", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     firsts = save(rooted.groupBy("root").agg(F.min("first").alias("class_id")), "firsts")
     named = save(rooted.select("node", "root").join(firsts, "root").select("node", "class_id"), "classes")
+    drop(nodes, members, wanted, held, able, left, roots, firsts)
     return sketched.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
