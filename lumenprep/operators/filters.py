@@ -79,3 +79,10 @@ def funnel(df: DataFrame, config: FilterConfig = FilterConfig()) -> DataFrame:
     n = nsfw_ok(config.nsfw_threshold)
     counts = df.agg(F.count("*").alias("n_in"), F.count_if(r).alias("n_resolution"), F.count_if(r & n).alias("n_nsfw"))
     return counts.withColumns({f"pct_{k}": F.coalesce(F.round(100.0 * F.col(f"n_{k}") / F.nullif("n_in", F.lit(0)), 4), F.lit(0.0)) for k in ("resolution", "nsfw")})
+
+
+def funnel_to_end(df: DataFrame, config: FilterConfig = FilterConfig()) -> DataFrame:
+    """funnel() and what the whole cascade leaves: n_out, the near copies that its last step drops, and their shares in percent."""
+    out = cascade(df, config).agg(F.count("*").alias("n_out"))
+    both = funnel(df, config).crossJoin(F.broadcast(out)).withColumn("n_duplicates", F.col("n_nsfw") - F.col("n_out"))
+    return both.withColumns({f"pct_{k}": F.coalesce(F.round(100.0 * F.col(f"n_{k}") / F.nullif("n_in", F.lit(0)), 4), F.lit(0.0)) for k in ("duplicates", "out")})

@@ -30,8 +30,10 @@ def success_rate(df: DataFrame, status: str = "status") -> DataFrame:
 
 def length_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """bin (from 0) and n of an equal-width histogram between the least and greatest value; empty bins are left out."""
-    bounds = df.agg(F.min(column).alias("__low"), F.max(column).alias("__high"))
-    return df.filter(F.col(column).isNotNull()).crossJoin(F.broadcast(bounds)).groupBy(histogram_bin(F.col(column), F.col("__low"), F.col("__high"), F.lit(bins)).alias("bin")).agg(F.count("*").alias("n"))
+    # Each value once with its count: the bounds and the bins are of that small table, the rows are read for it alone.
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__n"))
+    bounds = counts.agg(F.min(column).alias("__low"), F.max(column).alias("__high"))
+    return counts.crossJoin(F.broadcast(bounds)).groupBy(histogram_bin(F.col(column), F.col("__low"), F.col("__high"), F.lit(bins)).alias("bin")).agg(F.sum("__n").alias("n"))
 
 
 def head_per_bin(df: DataFrame, n: int = 2, order: str = "ordinal") -> DataFrame:

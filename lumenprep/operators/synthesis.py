@@ -137,6 +137,11 @@ def results(df: DataFrame, error: str = "error", order: str = "ordinal") -> Data
     return df.select(F.col(order).alias("index"), F.when(F.col(error).isNull(), "success").otherwise("error").alias("status"), F.struct(*others).alias("entry"), F.col(error).alias("error"))
 
 
+def first_entries(df: DataFrame, n: int = 0, order: str = "ordinal") -> DataFrame:
+    """The first n rows by `order`; all where n is 0 or less."""
+    return df.orderBy(order).limit(n) if n > 0 else df
+
+
 def successes(result: DataFrame) -> DataFrame:
     return result.filter("status = 'success'").select("index", "entry.*")
 

@@ -483,6 +483,51 @@ def merge_original_priority(spark, sf_dir):
     return _merged(spark, sf_dir, "original")
 
 
+@query("SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 25")
+def first_entries(spark, sf_dir):
+    return S.first_entries(T.table(spark, sf_dir, "documents").select("doc_id", "n_chars"), 25, "doc_id")
+
+
+@query(
+    """SELECT doc_id, CASE WHEN source IS NULL THEN 'missing field: path' WHEN text IS NULL THEN 'missing field: ocr_text' WHEN lang IS NULL THEN 'missing field: detected_objects'
+  WHEN quality IS NULL THEN 'missing field: bin' WHEN toxic = 1 THEN 'missing or empty reasoning_description' END AS error FROM documents LEFT JOIN labels USING (doc_id)"""
+)
+def entry_errors(spark, sf_dir):
+    rows = T.table(spark, sf_dir, "documents").join(T.table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+    described = F.when(F.col("toxic") == 1, " ").otherwise("seen")
+    raw = F.to_json(F.struct(F.col("source").alias("path"), F.col("doc_id").alias("id"), F.col("text").alias("ocr_text"), F.col("lang").alias("detected_objects"), F.col("quality").alias("bin"), described.alias("reasoning_description")))
+    return rows.select("doc_id", R.entry_error(raw).alias("error"))
+
+
+@query("SELECT doc_id AS path, CASE WHEN quality = 1 THEN 'first' ELSE 'again' END AS reasoning_description FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL")
+def repaired(spark, sf_dir):
+    labels = T.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("path"), "quality")
+    inputs = T.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.col("doc_id").alias("line_no"))
+    outputs = inputs.join(labels.filter("quality = 1"), "path").select("path", F.lit("first").alias("reasoning_description"), "line_no")
+
+    def again(failed):
+        return failed.join(labels, "path", "left").select("path", F.when(F.col("quality").isNotNull(), "again").alias("reasoning_description"), "line_no")
+
+    return R.repair(inputs, outputs, again).select("path", "reasoning_description")
+
+
+@query("SELECT l_orderkey AS ordinal, min(l_quantity) AS x1, min(l_discount) AS y1, max(l_quantity) AS x2, max(l_discount) AS y2 FROM lineitem GROUP BY l_orderkey")
+def polygon_boxes(spark, sf_dir):
+    points = T.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("ordinal")).agg(F.collect_list(F.struct(F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"))).alias("points"))
+    return points.select("ordinal", G.polygon_box(F.col("points")).alias("box")).select("ordinal", "box.*")
+
+
+@query(
+    f"""WITH c AS ({SQL["filter_cascade_funnel"]}), o AS (SELECT count(*) AS n_out FROM ({SQL["filter_cascade"]}))
+SELECT c.*, n_out, n_nsfw - n_out AS n_duplicates, coalesce(round(100.0 * (n_nsfw - n_out) / nullif(n_in, 0), 4), 0) AS pct_duplicates, coalesce(round(100.0 * n_out / nullif(n_in, 0), 4), 0) AS pct_out FROM c, o"""
+)
+def filter_cascade_funnel_to_end(spark, sf_dir):
+    from ..tables import save
+
+    rows = T.images(spark, sf_dir).join(T.hashes(spark, sf_dir).withColumnRenamed("h0", "phash"), "ordinal", "left")
+    return K.funnel_to_end(save(rows, "images"), FilterConfig())
+
+
 # Packaging and metrics
 
 MCQ = values(T.MCQ, "id, answer, options")

@@ -221,3 +221,26 @@ def test_scorers(spark):
     assert scorers.scorer("nsfw", "other") is s and scorers.scorer("qa", "none") is None
     assert {(r["id"], r["score"]) for r in s.apply(spark.range(7)).collect()} == {(i, 2.0 * i) for i in range(7)}
     assert scorers.ConstantScorer(x="id + 1").apply(spark.range(1)).first()["x"] == 1
+
+
+def test_run_logger(tmp_path):
+    import logging
+
+    from lumenprep.log import run_logger
+
+    log = run_logger("lumenprep-test", str(tmp_path / "logs"))
+    assert run_logger("lumenprep-test", str(tmp_path / "logs")) is log and len(log.handlers) == 2
+    log.info("three of four kept")
+    assert "lumenprep-test - INFO - three of four kept" in next((tmp_path / "logs").glob("*.log")).read_text()
+    for h in list(log.handlers):
+        h.close()
+        log.removeHandler(h)
+    assert logging.getLogger("lumenprep-test") is log
+
+
+def test_first_entries(spark):
+    from lumenprep.operators.synthesis import first_entries
+
+    df = spark.createDataFrame([(i, f"e{i}") for i in (3, 1, 2)], "ordinal long, e string")
+    assert [r["e"] for r in first_entries(df, 2).collect()] == ["e1", "e2"]
+    assert first_entries(df, 0).count() == first_entries(df, -1).count() == 3
