@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,14 +149,20 @@ def boundaries(text: str, starts: np.ndarray) -> np.ndarray:
 NONE = 1 << 60
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one slice: the pair of least rank (leftmost of equals) merges first. Long slices take a heap: n log n."""
+def byte_pairs(ranks: dict[bytes, int]) -> list[list[int]]:
+    """The rank of each pair of bytes, by its first and its second byte."""
+    return [[ranks.get(bytes((a, b)), NONE) for b in range(256)] for a in range(256)]
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], first: list[list[int]] | None = None) -> list[int]:
+    """The ids of one slice: the pair of least rank (leftmost of equals) merges first. Long slices take a heap: n log n.
+    first: byte_pairs() of the ranks, which saves asking for each pair of bytes."""
     if piece in ranks:
         return [ranks[piece]]
     n = len(piece)
     if n <= 64:
         cut = list(range(n + 1))
-        pairs = [ranks.get(piece[i : i + 2], NONE) for i in range(n - 1)]
+        pairs = [first[a][b] for a, b in zip(piece, piece[1:])] if first else [ranks.get(piece[i : i + 2], NONE) for i in range(n - 1)]
         while pairs and (least := min(pairs)) != NONE:
             i = pairs.index(least)
             del cut[i + 1], pairs[i]
@@ -188,21 +195,27 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder(dict):
-    """From a slice to its ids as packed int32; at most `most` slices are held, then it starts afresh."""
+    """From a slice to its ids as packed int32. Two generations of at most `most` slices: a full one becomes the old one,
+    and what is asked for again comes back from there, so that frequent slices stay."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], most: int = 120_000):
         super().__init__()
         self.ranks, self.most = ranks, most
+        self.old: dict[str, bytes] = {}
+        self.first = byte_pairs(ranks)
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.length = np.zeros(max(self.bytes_of) + 1, np.int64)
         for i, b in self.bytes_of.items():
             self.length[i] = len(b)
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        out = np.array(merge(piece.encode(), self.ranks), np.int32).tobytes()
+        out = self.old.get(piece)
+        if out is None:
+            out = array("i", merge(piece.encode(), self.ranks, self.first)).tobytes()
         if len(piece) <= 64:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
             self[piece] = out
         return out
 
