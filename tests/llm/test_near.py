@@ -197,6 +197,20 @@ def test_line_typos_by_brute_force(spark):
     assert len(near) >= 150 and found >= 0.75
 
 
+def passage_lines(rng):
+    """Lines that hold one passage, and a copy of each with edits so spread that only the passage's keys are shared."""
+    passage = text_of(rng, 70)[:300]
+    heads = [text_of(rng, 60)[:150] for _ in range(60)]
+    copies = ["".join("_" if k % 5 == 2 else c for k, c in enumerate(h)) for h in heads]
+    return [lines.normalise(h + passage) for h in heads], [lines.normalise(c + passage) for c in copies]
+
+
+def test_lines_of_a_common_passage_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK", 50)
+    near, root, kept = line_recall(spark, *passage_lines(random.Random(9)))
+    assert len(near) >= 60 and len(set(root.values())) >= 50 and kept == set(root.values())
+
+
 def test_line_dedup_by_edit_similarity_alone(spark):
     rng = random.Random(5)
     pool = [text_of(rng, 60) for _ in range(8)]
