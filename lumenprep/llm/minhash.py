@@ -31,6 +31,8 @@ from .shingles import U, mix, shingles
 
 BANDS, ROWS = 25, 5
 BASE = -3  # log2 of the first rank cell
+#: Texts whose darts are held at once.
+PART = 256
 
 
 def _poisson(mean: float) -> np.ndarray:
@@ -67,7 +69,19 @@ def darts(h: np.ndarray, weight: np.ndarray, of: np.ndarray, rank_cell: int, wei
 
 
 def signatures(h: np.ndarray, weight: np.ndarray, of: np.ndarray, texts: int, k: int = BANDS * ROWS) -> np.ndarray:
-    """uint64 (texts, k): the identity of the earliest dart of each coordinate; a text without elements has zeros."""
+    """uint64 (texts, k): the identity of the earliest dart of each coordinate; a text without elements has zeros.
+
+    of is sorted. A text needs about k log k darts even if it has one element, so PART texts at a time are thrown at.
+    """
+    out = np.zeros((texts, k), U)
+    for a in range(0, texts, PART):
+        b = min(a + PART, texts)
+        part = slice(*np.searchsorted(of, [a, b]).tolist())
+        out[a:b] = _signatures(h[part], weight[part], of[part] - a, b - a, k)
+    return out
+
+
+def _signatures(h: np.ndarray, weight: np.ndarray, of: np.ndarray, texts: int, k: int) -> np.ndarray:
     weight = weight.astype(float)
     total = np.bincount(of, weight, minlength=texts)
     best_rank, best = np.full(texts * k, np.inf), np.zeros(texts * k, U)

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -79,6 +80,16 @@ def test_dart_estimates():
     assert (minhash.signatures(np.empty(0, np.uint64), np.empty(0), np.empty(0, int), 1) == 0).all()
 
 
+def test_darts_of_many_short_texts_take_little_memory():
+    h, n, of = shingles.shingles([f"line {i}" for i in range(20000)])
+    tracemalloc.start()
+    many = minhash.signatures(h, n, of, 20000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * many.nbytes + 32e6
+    assert (many[19000:19100] == minhash.signatures(h[19000:19100], n[19000:19100], of[19000:19100] - 19000, 100)).all()
+
+
 def test_links_of_a_large_bucket(spark):
     points = [(i, x) for i, x in enumerate([0] * 3 + list(range(0, 300, 3)) + [1000, 1001, 5000])]
     rows = spark.createDataFrame([(b, i, (x,)) for i, x in points for b in (1, 2)], "key long, id long, at struct<x:long>")
