@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenprep.llm import lines, links, minhash, shingles, spotsigs
-from lumenprep.llm.edits import best_infix, edit_distance
+from lumenprep.llm.edits import best_infix, edit_distance, maybe_within
 from lumenprep.llm.q_spotsigs import op4_spotsigs
 
 VOCABULARY = [a + b for a in ("ka", "lo", "mi", "nu", "the", "of", "und", "re") for b in ("", "ta", "ren", "sol", "vik", "dor")]
@@ -222,6 +222,46 @@ def test_lines_of_a_common_passage_by_brute_force(spark, monkeypatch):
     assert len(near) >= 60 and len(set(root.values())) >= 50 and kept == set(root.values())
 
 
+def test_maybe_within_refutes_only_what_is_too_far():
+    rng = random.Random(11)
+    for chars in (4, 60, 400, 900):
+        bases = ["".join(rng.choice("abcde ") for _ in range(rng.randrange(chars // 2, chars))) for _ in range(8)] + [""]
+        texts = bases + [typed(rng, b, rng.randrange(1, 2 + chars // 5)) for b in bases[:-1] for _ in range(3) if b]
+        a, b = np.array(list(itertools.permutations(range(len(texts)), 2))).T
+        most = np.array([max(len(texts[i]), len(texts[j])) // 10 for i, j in zip(a, b)])
+        near = [edit_distance(texts[i], texts[j], m) is not None for i, j, m in zip(a, b, most.tolist())]
+        assert any(near) and not all(near) and maybe_within(texts, a, b, most)[near].all()
+        assert maybe_within(texts, a, b, most).sum() < len(near) / 2 or chars == 4
+
+
+def test_apart_pairs_has_all_near_pairs():
+    rng = random.Random(12)
+    bases, copies = passage_lines(rng)
+    texts = bases + copies + [typed(rng, b, e) for b in bases[:20] for e in (3, 20, 45)] + ["la " * n for n in (9, 10, 300, 320)]
+    n = len(texts)
+    keys = [np.array([5, 6 + i % 3]) for i in range(n)]
+    x, y = (np.concatenate(v) for v in zip(*(lines.apart_pairs(texts, np.arange(n), np.ones(n, bool), np.arange(n), keys, k, 0.9) for k in (5,))))
+    other = {(i, j) for k in (6, 7, 8) for m in [[i for i in range(n) if k in keys[i]]] for p, q in zip(*lines.apart_pairs([texts[i] for i in m], np.array(m), np.ones(len(m), bool), np.array(m), [keys[i] for i in m], k, 0.9)) for i, j in [(m[p], m[q])]}
+    found = {frozenset(p) for p in zip(x.tolist(), y.tolist())} | {frozenset(p) for p in other}
+    near = {frozenset(p) for p in itertools.combinations(range(n), 2) if edit_distance(texts[p[0]], texts[p[1]], lines.deletions(0.9, max(len(texts[i]) for i in p))) is not None}
+    assert len(near) > 100 and near <= found
+
+
+def test_rows_of_large_buckets_grow_as_their_members(spark, monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK", 100)
+    rng = random.Random(13)
+    chars = [rng.randrange(30, 400) for _ in range(3000)]
+    left = spark.createDataFrame([(1, i, i) for i in range(3000)] + [(2, i, i) for i in range(100)], "key long, id long, root long")
+    classes = spark.createDataFrame(list(enumerate(chars)), "id long, chars int").withColumn("class", lines.length_class(F.col("chars"), 0.9))
+    rows = lines.dealt(left, classes).collect()
+    assert len(rows) == 3000 * (lines.STEPS + 1) + 100
+    units = {}
+    for r in rows:
+        units.setdefault((r["key"], r["unit"]), ([], []))[r["own"]].append(r["id"])
+    meet = {(a, b) for guests, own in units.values() for b in own for a in guests + own}
+    assert all((a, b) in meet for a in range(1500) for b in range(1500) if chars[a] <= chars[b] and chars[a] >= 0.9 * chars[b] - 1e-9)
+
+
 def test_line_dedup_by_edit_similarity_alone(spark):
     rng = random.Random(5)
     pool = [text_of(rng, 60) for _ in range(8)]
