@@ -262,6 +262,29 @@ def test_rows_of_large_buckets_grow_as_their_members(spark, monkeypatch):
     assert all((a, b) in meet for a in range(1500) for b in range(1500) if chars[a] <= chars[b] and chars[a] >= 0.9 * chars[b] - 1e-9)
 
 
+def test_line_dedup_holds_what_it_still_reads(spark, monkeypatch):
+    live, at = {}, {}
+
+    def save(df, name, write=lines.save):
+        at[name] = {n for n, _ in live.values()}
+        out = write(df, name)
+        live[id(out)] = name, out
+        return out
+
+    def drop(*saved, delete=lines.drop):
+        delete(*saved)
+        for df in saved:
+            live.pop(id(df), None)
+
+    monkeypatch.setattr(lines, "save", save)
+    monkeypatch.setattr(lines, "drop", drop)
+    bases, copies = passage_lines(random.Random(9))
+    assert lines.dedup_lines(spark.createDataFrame(list(enumerate(bases + copies)), "doc_id long, text string")).count() == len(bases + copies)
+    assert {"line-met", "line-found", "line-ids", "line-alike", "line-words"}.isdisjoint(at["line-across"])
+    assert {"line-texts", "line-known", "line-units"}.isdisjoint(at["line-last"])
+    assert {n for n, _ in live.values()} == {"removed"}
+
+
 def test_line_dedup_by_edit_similarity_alone(spark):
     rng = random.Random(5)
     pool = [text_of(rng, 60) for _ in range(8)]
