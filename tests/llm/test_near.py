@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenprep.llm import lines, links, minhash, shingles, spotsigs
-from lumenprep.llm.edits import best_infix, edit_distance, maybe_within
+from lumenprep.llm.edits import best_infix, edit_distance, maybe_within, segments_allow
 from lumenprep.llm.q_spotsigs import op4_spotsigs
 
 VOCABULARY = [a + b for a in ("ka", "lo", "mi", "nu", "the", "of", "und", "re") for b in ("", "ta", "ren", "sol", "vik", "dor")]
@@ -234,6 +234,44 @@ def test_maybe_within_refutes_only_what_is_too_far():
         assert maybe_within(texts, a, b, most).sum() < len(near) / 2 or chars == 4
 
 
+def test_segments_allow_refutes_only_what_is_too_far():
+    rng = random.Random(14)
+    bases = [text_of(rng, n) for n in (1, 12, 30, 80, 150, 400) for _ in range(4)] + ["", "la " * 300, "\u4e2d" * 70]
+    halves = [b[: len(b) // 2] + text_of(rng, 400)[: len(b) - len(b) // 2] for b in bases]
+    texts = bases + halves + [typed(rng, b, e) for b in bases[4:24] for e in (1, len(b) // 20, len(b) // 10)]
+    a, b = np.array(list(itertools.permutations(range(len(texts)), 2))).T
+    most = np.array([lines.deletions(0.9, max(len(texts[i]), len(texts[j]))) for i, j in zip(a, b)])
+    near = np.array([edit_distance(texts[i], texts[j], m) is not None for i, j, m in zip(a, b, most.tolist())])
+    allowed = segments_allow(texts, a, b, most)
+    assert near.sum() > 100 and allowed[near].all()
+    long = np.array([min(len(texts[i]), len(texts[j])) >= 400 and abs(len(texts[i]) - len(texts[j])) <= m for i, j, m in zip(a, b, most.tolist())])
+    assert (long & ~near).sum() > 100 and not allowed[long & ~near].all() and allowed[long & ~near].mean() < 0.5
+    assert (lines.near_pairs([texts[i] for i in a], [texts[j] for j in b], 0.9) == near).all()
+
+
+def test_far_lines_of_a_bucket_cost_no_exact_work(monkeypatch):
+    """Lines that share a common passage only are told apart by their grams, without looking at places or distances."""
+    rng = random.Random(15)
+    texts = [lines.normalise("".join(rng.choice("abcdefghiklmnoprstu ") for _ in range(300)) + " a common passage") for _ in range(150)]
+    texts += [typed(rng, t, 20) for t in texts[:5]]
+    placed, compared = [], []
+
+    def grams(some, *rest, count=lines.placed_grams):
+        placed.extend(some)
+        return count(some, *rest)
+
+    def exact(xs, ys, most, compare=lines.within):
+        compared.extend(xs)
+        return compare(xs, ys, most)
+
+    monkeypatch.setattr(lines, "placed_grams", grams)
+    monkeypatch.setattr(lines, "within", exact)
+    n = len(texts)
+    x, y = lines.apart_pairs(texts, np.arange(n), np.ones(n, bool), np.arange(n), [np.array([5])] * n, 5, 0.9)
+    assert {frozenset((i, 150 + i)) for i in range(5)} <= {frozenset(p) for p in zip(x.tolist(), y.tolist())}
+    assert len(placed) <= 30 and len(lines.joining(texts, np.arange(n), x, y, 0.9)) == 5 and len(compared) <= 10
+
+
 def test_apart_pairs_has_all_near_pairs():
     rng = random.Random(12)
     bases, copies = passage_lines(rng)
