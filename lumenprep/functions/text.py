@@ -15,7 +15,11 @@ def tokens(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(tokens(c)).cast("long")
+    """How many tokens there are: what stands between white space and isn't empty, which costs less than to match each token.
+
+    The class asks first for printable ASCII, which most characters are.
+    """
+    return F.size(F.array_remove(F.split(c, f"[[^\\x21-\\x7e]&&[{WHITE}]]"), "")).cast("long")
 
 
 def strip(c: Column) -> Column:

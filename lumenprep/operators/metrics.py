@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import histogram_bin
+from ..tables import save
 
 
 def bin_counts(df: DataFrame, bins: tuple[str, ...] = ("A", "B", "C")) -> DataFrame:
@@ -30,8 +31,9 @@ def success_rate(df: DataFrame, status: str = "status") -> DataFrame:
 
 def length_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """bin (from 0) and n of an equal-width histogram between the least and greatest value; empty bins are left out."""
-    # Each value once with its count: the bounds and the bins are of that small table, the rows are read for it alone.
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__n"))
+    # Each value once with its count, written: bounds and bins are of that small table, and a filter on the values can't be
+    # pushed below it, so that the rows are read, and an expression behind the column is evaluated, once.
+    counts = save(df.groupBy(column).agg(F.count("*").alias("__n")), "lengths").filter(F.col(column).isNotNull())
     bounds = counts.agg(F.min(column).alias("__low"), F.max(column).alias("__high"))
     return counts.crossJoin(F.broadcast(bounds)).groupBy(histogram_bin(F.col(column), F.col("__low"), F.col("__high"), F.lit(bins)).alias("bin")).agg(F.sum("__n").alias("n"))
 

@@ -244,3 +244,18 @@ def test_first_entries(spark):
     df = spark.createDataFrame([(i, f"e{i}") for i in (3, 1, 2)], "ordinal long, e string")
     assert [r["e"] for r in first_entries(df, 2).collect()] == ["e1", "e2"]
     assert first_entries(df, 0).count() == first_entries(df, -1).count() == 3
+
+
+def test_word_count_and_histogram_read_once(spark):
+    white = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+    texts = [None, "", " ", white, "a", f"{white}a{white}b​ c{white}", "é à　中 \x7f !~", *[f"x{w}y{w}{w}z" for w in white]]
+    assert column(spark, X.word_count(F.col("t")), [(t,) for t in texts], "t string") == [None if t is None else len(t.split()) for t in texts]
+    seen = spark.sparkContext.accumulator(0)
+
+    def length(t):
+        seen.add(1)
+        return None if t is None else len(t)
+
+    df = spark.createDataFrame([(t,) for t in ["", "a", "b" * 40, "c" * 39, None]], "t string").select(F.udf(length, "long")("t").alias("n"))
+    assert {r["bin"]: r["n"] for r in M.length_histogram(df, "n", 20).collect()} == {0: 2, 19: 2}
+    assert seen.value == 5
