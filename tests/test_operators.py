@@ -1,6 +1,7 @@
 """Boundary rows of the operators, and greedy dedup, ranks and word splitting against plain Python."""
 
 import random
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -259,3 +260,70 @@ def test_word_count_and_histogram_read_once(spark):
     df = spark.createDataFrame([(t,) for t in ["", "a", "b" * 40, "c" * 39, None]], "t string").select(F.udf(length, "long")("t").alias("n"))
     assert {r["bin"]: r["n"] for r in M.length_histogram(df, "n", 20).collect()} == {0: 2, 19: 2}
     assert seen.value == 5
+
+
+def test_greedy_dedup_of_a_large_cluster_writes_no_pairs(spark, monkeypatch):
+    rows = [(i, sum(1 << b for b in c)) for i, c in enumerate(combinations(range(20), 3))]  # 1,140 hashes, at most 6 apart
+    rows += [(2000 + i, (1 << 40) - 1 << 24 ^ 1 << b) for i, b in enumerate(range(64))]
+    rows = [(i, h - 2**64 if h >= 2**63 else h) for i, h in rows]
+    written, write = [], D.save
+
+    def save(df, name):
+        out = write(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(D, "save", save)
+    df = spark.createDataFrame(rows, "ordinal long, phash long")
+    assert sorted(r[0] for r in D.greedy_dedup(df).select("ordinal").collect()) == greedy(rows, 8)
+    assert sum(written) <= 2 * len(rows)
+
+
+def test_greedy_dedup_any_hash_over_blocks(spark):
+    rng = random.Random(3)
+    base = [[rng.getrandbits(63) for _ in range(3)] for _ in range(10)]
+    rows = [(i, *[None if rng.random() < 0.1 else x ^ sum(1 << b for b in rng.sample(range(63), rng.choice([0, 3, 6, 12, 30]))) for x in rng.choice(base)]) for i in range(300)]
+    kept, want = [], []
+    for i, *h in rows:
+        if not any(a is not None and b is not None and bin(a ^ b).count("1") < 8 for k in kept for a, b in zip(h, k, strict=True)):
+            want.append(i)
+            kept.append(h)
+    df = spark.createDataFrame(rows, "ordinal long, h0 long, h1 long, h2 long")
+    for blocks in (1, 4, None):
+        assert sorted(r[0] for r in D.greedy_dedup(df, ["h0", "h1", "h2"], blocks=blocks).select("ordinal").collect()) == want
+
+
+@pytest.mark.parametrize("blocks", [1, 3, None])
+def test_near_pairs(spark, blocks):
+    rng = random.Random(7)
+    base = [rng.getrandbits(63) for _ in range(6)]
+    rows = [(i, *[None if rng.random() < 0.1 else rng.choice(base) ^ sum(1 << b for b in rng.sample(range(63), rng.choice([0, 3, 5]))) for _ in range(2)]) for i in range(200)]
+    rows += [(1000 + i, 5, None) for i in range(40)]
+    want = {}
+    for a, b in combinations(rows, 2):
+        d = [bin(x ^ y).count("1") for x, y in zip(a[1:], b[1:], strict=True) if x is not None and y is not None]
+        if d and min(d) < 8:
+            want[a[0], b[0]] = min(d)
+    got = D.near_pairs(spark.createDataFrame(rows, "ordinal long, h0 long, h1 long"), ["h0", "h1"], "ordinal", 8, blocks)
+    found = got.collect()
+    assert len(found) == len(want) and {(r["first"], r["second"]): r["distance"] for r in found} == want
+    # Rows are dealt once; pairs are not shuffled.
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 1
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_simhashes(spark):
+    from hashlib import md5
+
+    from lumenprep.functions.hashing import simhashes
+
+    texts = [None, "", " \n", "a b a\nc", " ".join(f"w{i}" for i in range(20000)) + " a" * 9000, "é\tü é"]
+    for salts in (("",), ("", "a")):
+        for text, got in zip(texts, simhashes(texts, salts), strict=True):
+            words = [w for w in (text or "").replace("\n", " ").split(" ") if w]
+            if not words:
+                assert got is None
+                continue
+            for salt, h in zip(salts, got.tolist(), strict=True):
+                each = [int.from_bytes(md5((salt + w).encode()).digest()[:8]) for w in words]
+                assert h & 2**64 - 1 == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in each) > len(each))
